@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluiceway.workspace import work_folder
+from sluiceway.workspace import new_work_path
 
 
 def register(spark: SparkSession, sf_dir: str, *names: str) -> None:
@@ -32,14 +31,11 @@ def write_sections(tables: dict[str, DataFrame]) -> str:
     pieces = []
     for number, (name, table) in enumerate(tables.items()):
         frame = [f"[{name}]", ",".join(table.columns), ""]
-        pieces.append(
-            spark.createDataFrame(list(zip([0, 1, 3], frame)), "kind int, line string").select(
-                F.lit(number).alias("section"), "kind", "line"
-            )
-        )
+        lines = [F.struct(F.lit(k).alias("kind"), F.lit(v).alias("line")) for k, v in zip((0, 1, 3), frame)]
+        pieces.append(spark.range(1).select(F.lit(number).alias("section"), F.inline(F.array(*lines))))
         rows = F.concat_ws(",", *[F.coalesce(F.col(c), F.lit("")) for c in table.columns])
         pieces.append(table.select(F.lit(number).alias("section"), F.lit(2).alias("kind"), rows.alias("line")))
-    path = f"{work_folder(spark).rstrip('/')}/sections-{uuid.uuid4().hex}"
+    path = new_work_path(spark, "sections")
     (
         reduce(DataFrame.union, pieces)
         .orderBy("section", "kind", F.spark_partition_id())

@@ -40,6 +40,11 @@ def work_database(spark: SparkSession) -> str:
     return database
 
 
+def new_work_path(spark: SparkSession, label: str) -> str:
+    """A folder for files that are not a table, next to the work tables and dropped with them."""
+    return f"{work_folder(spark).rstrip('/')}/{work_database(spark)}/{label}-{uuid.uuid4().hex}"
+
+
 def new_work_table(spark: SparkSession, label: str) -> str:
     """A name for a work table that no other call gets."""
     label = re.sub(r"\W", "_", label).lower()
@@ -63,5 +68,5 @@ def released(spark: SparkSession, table: str) -> Iterator[str]:
 
 
 def drop_work(spark: SparkSession) -> None:
-    """Drop every work table of this application."""
+    """Drop every work table and work folder of this application."""
     spark.sql(f"DROP DATABASE IF EXISTS {work_database(spark)} CASCADE")
