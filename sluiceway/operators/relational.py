@@ -30,9 +30,19 @@ def _sorted(df: DataFrame, keys: Sequence[Column]) -> DataFrame:
     return df.orderBy(*keys, F.spark_partition_id())
 
 
-def ordered(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
-    """Sort by ``"expression [ASC|DESC] [NULLS FIRST|LAST]"`` items, first item first."""
-    return _sorted(df, [getattr(F.expr(by), way)() for by, way in map(_order, order_by)])
+def ordered(df: DataFrame, order_by: Sequence[str], select: Sequence[str] = ()) -> DataFrame:
+    """Sort by ``"expression [ASC|DESC] [NULLS FIRST|LAST]"`` items, first item first.
+
+    ``select`` gives the expressions behind the columns of ``df`` where these no longer resolve, as
+    after a union: an item that repeats one of them sorts by its column.
+    """
+    named = {
+        item.strip(): f"`{name}`"
+        for item, name in zip(select, df.columns)
+        if len(select) == len(df.columns) and df.columns.count(name) == 1
+    }
+    keys = [(named.get(by, by), way) for by, way in map(_order, order_by)]
+    return _sorted(df, [getattr(F.expr(by), way)() for by, way in keys])
 
 
 def _group_key(df: DataFrame, select: Sequence[str], key: str) -> Column:
@@ -61,12 +71,12 @@ def grouped(
     """GROUP BY with HAVING and ORDER BY; keys, aggregates and both conditions may mix freely.
 
     All of it goes into one aggregation, as hidden columns where it is not selected. Without
-    ``group_by`` the whole input is one group.
+    ``group_by`` the whole input is one group. As in SQL, a name in HAVING or ORDER BY means the
+    selected column before it means one of the input, but inside an aggregate it means the input's.
     """
     groups = df.groupBy(*[_group_key(df, select, key).alias(f"__k{i}") for i, key in enumerate(group_by)])
     outputs = [F.expr(item) for item in select]
-    hidden = [F.expr(having).alias("__h")] if having else []
-    keys = []
+    hidden, keys = [], []
     if order_by:
         names = [name.lower() for name in groups.agg(*outputs).columns[len(group_by) :]]
         for i, (by, way) in enumerate(map(_order, order_by)):
@@ -75,9 +85,14 @@ def grouped(
             else:
                 hidden.append(F.expr(by).alias(f"__s{i}"))
                 keys.append(getattr(F.col(f"__s{i}"), way)())
-    result = groups.agg(*outputs, *hidden)
     if having:
-        result = result.filter("__h")
+        try:
+            result = groups.agg(*outputs, *hidden).filter(F.expr(having))
+        except AnalysisException:
+            # An aggregate of an input column whose name is selected for something else.
+            result = groups.agg(*outputs, *hidden, F.expr(having).alias("__h")).filter("__h")
+    else:
+        result = groups.agg(*outputs, *hidden)
     if keys:
         result = _sorted(result, keys)
     return result.drop(*[name for name in result.columns if re.fullmatch(r"__(k\d+|h|s\d+)", name)])

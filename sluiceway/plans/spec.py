@@ -109,7 +109,7 @@ def query_from_spec(spark: SparkSession, spec: Mapping[str, Any]) -> DataFrame:
     if "unions" not in spec:
         return _branch(spark, spec, order_by)
     result = union_distinct([_branch(spark, branch, []) for branch in (spec, *spec["unions"])])
-    return ordered(result, order_by) if order_by else result
+    return ordered(result, order_by, spec["select_columns"]) if order_by else result
 
 
 def stage_from_spec(spark: SparkSession, spec: Mapping[str, Any], **load_options: Any) -> LoadResult | None:

@@ -1,0 +1,106 @@
+"""Joins against plain Spark joins, with duplicates, NULLs and one key that holds most rows."""
+
+import random
+
+import pytest
+from pyspark.errors import AnalysisException
+
+from sluiceway.operators import join
+from sluiceway.operators.joins import _conjuncts, join_name
+from sluiceway.sources import from_item
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    rng = random.Random(5)
+
+    def rows(size, hot):
+        return [
+            (rng.choice([7, None, rng.randint(0, 40)]) if rng.random() > hot else 7, rng.randint(0, 9), f"v{i % 3}")
+            for i in range(size)
+        ]
+
+    spark.createDataFrame(rows(60, 0.1), "k int, n int, v string").createOrReplaceTempView("join_left")
+    spark.createDataFrame(rows(300, 0.5), "k int, n int, v string").createOrReplaceTempView("join_right")
+    return from_item(spark, "join_left a"), from_item(spark, "join_right b")
+
+
+def same(actual, expected):
+    assert actual.columns == expected.columns
+    assert [kind for _, kind in actual.dtypes] == [kind for _, kind in expected.dtypes]
+    assert sorted(map(repr, actual.collect())) == sorted(map(repr, expected.collect()))
+
+
+CONDITIONS = [
+    "a.k = b.k",
+    "a.k = b.k AND b.n > 6",
+    "a.k = b.k AND a.n > 6",
+    "a.k = b.k and a.n < b.n and b.v = a.v",
+    "a.k = b.k AND (a.n = 3 OR b.n = 4)",
+    "a.k = b.k AND b.n BETWEEN 2 AND 4",
+    "a.k <=> b.k AND a.n = b.n",
+    "b.n > 100",
+    "a.k = b.k AND b.v = 'v1' AND b.n > a.n",
+]
+TYPES = ["INNER", "LEFT", "left outer", "RIGHT", "FULL", "Full Outer", "LEFT SEMI", "SEMI", "LEFT ANTI", "ANTI"]
+
+
+@pytest.mark.parametrize("condition", CONDITIONS)
+def test_every_join_type(spark, tables, condition):
+    left, right = tables
+    left.createOrReplaceTempView("jl"), right.createOrReplaceTempView("jr")
+    for kind in TYPES:
+        columns = "a.*" if kind.split()[-1] in ("SEMI", "ANTI") else "a.*, b.*"
+        expected = spark.sql(f"SELECT {columns} FROM join_left a {kind} JOIN join_right b ON {condition}")
+        for hot_keys in (False, True):
+            same(join(left, right, kind, condition, hot_keys), expected)
+
+
+def test_columns_stay_addressable_after_a_join_in_parts(tables):
+    left, right = tables
+    for kind in ("LEFT", "RIGHT", "FULL"):
+        joined = join(left, right, kind, "a.k = b.k", hot_keys=True)
+        assert joined.select("a.k", "b.k", "a.v", "b.v").count() == joined.count()
+
+
+def test_hot_side_of_semi_and_anti_joins_is_reduced_before_the_shuffle(tables):
+    left, right = tables
+    for kind in ("LEFT SEMI", "LEFT ANTI"):
+        plan = join(left, right, kind, "a.k = b.k AND b.n > 6")._jdf.queryExecution().optimizedPlan().toString()
+        assert "Aggregate [k#" in plan
+
+
+def test_cross_join(tables):
+    left, right = tables
+    for kind in ("CROSS", "cross join"):
+        assert join(left, right, kind).count() == 60 * 300
+    with pytest.raises(ValueError, match="no condition"):
+        join(left, right, "CROSS", "a.k = b.k")
+
+
+def test_condition_is_required(tables):
+    with pytest.raises(ValueError, match="needs a condition"):
+        join(*tables, "LEFT")
+
+
+def test_unknown_type_is_an_error(tables):
+    with pytest.raises(Exception, match="(?i)unsupported join type"):
+        join(*tables, "SIDEWAYS", "a.k = b.k")
+
+
+def test_unknown_column_is_an_error(tables):
+    for kind in ("INNER", "LEFT SEMI"):
+        with pytest.raises(AnalysisException):
+            join(*tables, kind, "a.k = b.nothing")
+
+
+def test_join_name():
+    assert join_name("LEFT OUTER") == "left_outer"
+    assert join_name("cross  join") == "cross"
+    assert join_name("") == "inner"
+
+
+def test_conjuncts_split_plain_conditions_only():
+    assert _conjuncts("a.x = b.x AND b.y > 3") == ["a.x = b.x", "b.y > 3"]
+    for condition in ("a = b AND c BETWEEN 1 AND 2", "a = b AND (c OR d)", "a = 'x AND y'", "NOT a AND b", "a AND b OR c"):
+        assert _conjuncts(condition) == [condition]
