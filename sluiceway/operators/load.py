@@ -54,8 +54,7 @@ def create_target(df: DataFrame, table: str) -> bool:
     spark = df.sparkSession
     if spark.catalog.tableExists(table):
         return False
-    # From the schema alone: an action on df would also end an observation of it.
-    spark.createDataFrame([], df.schema).write.saveAsTable(table)
+    spark.catalog.createTable(table, schema=df.schema)
     return True
 
 
@@ -153,6 +152,7 @@ def _run(
     staged: bool,
 ) -> LoadResult:
     spark = rows.sparkSession
+    # Observed in the task that writes, whose numbers count once even if executors are lost on the way.
     labels = list(conditions)
     seen = Observation()
     counted = rows.observe(
