@@ -6,14 +6,22 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sluiceway.workspace import new_work_path
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def register(spark: SparkSession, sf_dir: str, *names: str) -> None:
-    """Register the named driver tables as temp views."""
+    """Register the named driver tables as temp views. A schema is inferred once per file, not per query."""
     for name in names:
-        spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
+        path = f"{sf_dir}/{name}.parquet"
+        reader = spark.read.schema(_schemas[path]) if path in _schemas else spark.read
+        table = reader.parquet(path)
+        _schemas[path] = table.schema
+        table.createOrReplaceTempView(name)
 
 
 def as_text(df: DataFrame) -> DataFrame:

@@ -12,10 +12,11 @@ from sluiceway.sources import from_item, read_query
 
 SINCE_1997 = "o.o_orderdate >= TIMESTAMP_NTZ '1997-01-01 00:00:00'"
 
-CUSTOMER_ORDERS_JOINS = [
+# Orders meet the customers before the items do: only the narrow rows are shuffled by customer.
+CUSTOMER_JOINS = [
+    {"join_type": "INNER", "join_table": "customer c", "join_condition": "o.o_custkey = c.c_custkey"},
     {"join_type": "INNER", "join_table": "nation n", "join_condition": "c.c_nationkey = n.n_nationkey"},
     {"join_type": "INNER", "join_table": "region r", "join_condition": "n.n_regionkey = r.r_regionkey"},
-    {"join_type": "INNER", "join_table": "orders o", "join_condition": "c.c_custkey = o.o_custkey"},
 ]
 ITEM_JOINS = [
     {"join_type": "INNER", "join_table": "lineitem l", "join_condition": "o.o_orderkey = l.l_orderkey"},
@@ -32,8 +33,8 @@ CUSTOMER_ORDERS = {
         "o.o_orderdate",
         "o.o_totalprice",
     ],
-    "table_name": "customer c",
-    "join_conditions": CUSTOMER_ORDERS_JOINS,
+    "table_name": "orders o",
+    "join_conditions": CUSTOMER_JOINS,
     "where_conditions": SINCE_1997,
 }
 
@@ -45,8 +46,8 @@ ORDER_DETAILS = {
         "l.l_quantity",
         "CAST(CAST(l.l_quantity * p.p_retailprice AS DECIMAL(18,2)) AS DOUBLE) AS total_price",
     ],
-    "table_name": "customer c",
-    "join_conditions": CUSTOMER_ORDERS_JOINS + ITEM_JOINS,
+    "table_name": "orders o",
+    "join_conditions": CUSTOMER_JOINS + ITEM_JOINS,
     "where_conditions": SINCE_1997,
 }
 
@@ -57,8 +58,8 @@ REGIONAL_SALES = {
         "COUNT(DISTINCT o.o_orderkey) AS order_count",
         "COUNT(DISTINCT c.c_custkey) AS unique_customers",
     ],
-    "table_name": "customer c",
-    "join_conditions": CUSTOMER_ORDERS_JOINS + ITEM_JOINS,
+    "table_name": "orders o",
+    "join_conditions": CUSTOMER_JOINS + ITEM_JOINS,
     "where_conditions": f"{SINCE_1997} AND o.o_totalprice > 250000",
     "group_by": ["r.r_name"],
     "having": "SUM(o.o_totalprice) > 1500000000",
