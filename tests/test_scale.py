@@ -87,5 +87,5 @@ def test_semi_join_collapses_the_hot_side_before_the_shuffle(spark, hot):
         below_join = executed(semi).split("Initial Plan")[0].split("SortMergeJoin")[1]
         assert below_join.count("HashAggregate(keys=[k#") == 2
         # One exchange per side: the distinct keys already lie where the join needs them.
-        assert below_join.count("Exchange hashpartitioning(k#") == 2
+        assert below_join.count("Exchange hashpartitioning(") == 2
         assert semi.count() == 400
