@@ -77,13 +77,14 @@ def _semi_or_anti(left: DataFrame, right: DataFrame, how: str, condition: str) -
     if not rest:
         return left.join(right.limit(1), F.lit(True), how)
     # Columns whose name occurs in the condition. One too many does no harm.
-    named = [
-        position
-        for position, column in enumerate(right.columns)
+    named = {
+        column: kind
+        for column, kind in right.dtypes
         if re.search(rf"(?<!\w){re.escape(column)}(?!\w)", condition, re.IGNORECASE)
-    ]
-    if named and len(set(right.columns)) == len(right.columns):
-        right = right.select(*[right[right.columns[position]] for position in named]).distinct()
+    }
+    comparable = not any("map<" in kind or "variant" in kind for kind in named.values())
+    if named and comparable and len(set(right.columns)) == len(right.columns):
+        right = right.select(*[F.col(f"`{column}`") for column in named]).distinct()
     return left.join(right, F.expr(" AND ".join(rest)), how)
 
 

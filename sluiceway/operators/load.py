@@ -3,7 +3,8 @@
 Loads that replace a table's rows, are gated by checks, or size their output, go through a work table:
 the query runs once, in full, before the target is touched. So a failing query or check leaves the
 target as it was, a load may read its own target, and counting, checking and sizing need no second run
-of the query. The price is one more write and read of the result; ``direct`` saves it.
+of the query. Should the last copy into the target fail, the work table stays and the error names it.
+The price is one more write and read of the result; ``direct`` saves it.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 from sluiceway.functions.sizing import repartition_by_size
 from sluiceway.operators.checks import CheckFailed, require_counts, violations
-from sluiceway.workspace import new_work_table, released
+from sluiceway.workspace import drop_work_table, new_work_table
 
 LOAD_TYPES = ("append", "truncate", "overwrite")
 
@@ -163,11 +164,21 @@ def _run(
     if not staged:
         removed, created = write(counted)
         return LoadResult(target, removed, seen.get["rows"], created)
-    with released(spark, new_work_table(spark, "load")) as table:
+    table = new_work_table(spark, "load")
+    try:
         counted.write.saveAsTable(table)
         if nonempty and seen.get["rows"] == 0:
             raise CheckFailed(f"nothing to load into '{target}'")
         require_counts(target, {label: seen.get[f"c{i}"] for i, label in enumerate(labels)})
-        ready = spark.table(table)
+    except BaseException:
+        drop_work_table(spark, table)
+        raise
+    ready = spark.table(table)
+    try:
         removed, created = write(repartition_by_size(ready) if sized else ready)
-        return LoadResult(target, removed, seen.get["rows"], created)
+    except Exception as error:
+        # The target may have lost its rows by now, so the new ones must not go as well.
+        error.add_note(f"the rows for '{target}' are kept in {table}")
+        raise
+    drop_work_table(spark, table)
+    return LoadResult(target, removed, seen.get["rows"], created)

@@ -33,7 +33,7 @@ def _sorted(df: DataFrame, keys: Sequence[Column]) -> DataFrame:
 def ordered(df: DataFrame, order_by: Sequence[str], select: Sequence[str] = ()) -> DataFrame:
     """Sort by ``"expression [ASC|DESC] [NULLS FIRST|LAST]"`` items, first item first.
 
-    ``select`` gives the expressions behind the columns of ``df`` where these no longer resolve, as
+    A number stands for the column at that position. ``select`` gives the expressions behind the columns of ``df`` where these no longer resolve, as
     after a union: an item that repeats one of them sorts by its column.
     """
     named = {
@@ -41,10 +41,19 @@ def ordered(df: DataFrame, order_by: Sequence[str], select: Sequence[str] = ())
         for item, name in zip(select, df.columns)
         if len(select) == len(df.columns) and df.columns.count(name) == 1
     }
-    keys = [(named.get(by, by), way) for by, way in map(_order, order_by)]
+    keys = [(_at(df.columns, by) or named.get(by, by), way) for by, way in map(_order, order_by)]
     return _sorted(df, [getattr(F.expr(by), way)() for by, way in keys])
 
 
+def _at(names: Sequence[str], by: str) -> str | None:
+    """The quoted name at the position that a sort item gives as a number."""
+    if not by.isdigit():
+        return None
+    if not 1 <= int(by) <= len(names):
+        raise ValueError(f"order_by item {by} is not the number of a select item")
+    return f"`{names[int(by) - 1]}`"
+
+
 def _group_key(df: DataFrame, select: Sequence[str], key: str) -> Column:
     """A grouping item: an expression, the number of a select item, or the name of one."""
     if key.isdigit():
@@ -80,6 +89,7 @@ def grouped(
     if order_by:
         names = [name.lower() for name in groups.agg(*outputs).columns[len(group_by) :]]
         for i, (by, way) in enumerate(map(_order, order_by)):
+            by = _at(names, by) or by
             if names.count(by.strip("`").lower()) == 1:
                 keys.append(getattr(F.col(by), way)())
             else:

@@ -9,8 +9,6 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,13 +56,9 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.table(table)
 
 
-@contextmanager
-def released(spark: SparkSession, table: str) -> Iterator[str]:
-    """Drop the work table at the end of the block, also when the block fails."""
-    try:
-        yield table
-    finally:
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
+def drop_work_table(spark: SparkSession, table: str) -> None:
+    """Drop one work table and its files."""
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
 def drop_work(spark: SparkSession) -> None:

@@ -70,6 +70,13 @@ def test_hot_side_of_semi_and_anti_joins_is_reduced_before_the_shuffle(tables):
         assert "Aggregate [k#" in plan
 
 
+def test_semi_join_on_columns_that_cannot_be_made_distinct(spark, tables):
+    left, _ = tables
+    maps = spark.sql("SELECT map('k', 7) AS m, 1 AS `odd name`").alias("b")
+    assert join(left, maps, "SEMI", "a.k = b.m['k']").count() == left.filter("k = 7").count()
+    assert join(left, maps, "ANTI", "a.n = b.`odd name`").count() == left.filter("n <> 1").count()
+
+
 def test_cross_join(tables):
     left, right = tables
     for kind in ("CROSS", "cross join"):

@@ -7,7 +7,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from sluiceway.operators import CheckFailed, create_target, load, load_external
-from sluiceway.workspace import work_database
+from sluiceway.workspace import drop_work_table, work_database
 
 
 @pytest.fixture
@@ -149,6 +149,16 @@ def test_work_tables_are_dropped(spark, target):
     assert len(spark.catalog.listTables(work_database(spark))) == len(before)
 
 
+def test_rows_are_kept_when_the_copy_into_the_target_fails(spark, target, tmp_path):
+    spark.sql(f"CREATE TABLE {target} (id INT, load_ts TIMESTAMP) USING parquet LOCATION '{tmp_path / 'gone'}'")
+    load(spark.range(3).selectExpr("CAST(id AS INT) AS id"), target)
+    with pytest.raises(PySparkException, match="CAST_OVERFLOW") as failure:
+        load(spark.range(1).selectExpr("id + 3000000000 AS id"), target, "truncate")
+    kept = failure.value.__notes__[0].split()[-1]
+    assert [row.id for row in spark.table(kept).collect()] == [3000000000]
+    drop_work_table(spark, kept)
+
+
 def test_external_load(spark, tmp_path):
     path = str(tmp_path / "out")
     assert load_external(rows(spark, A, B), "parquet", path=path).rows_loaded == 2

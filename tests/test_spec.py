@@ -165,6 +165,29 @@ def test_order_by(spark):
     assert ids("CASE WHEN p.name = 'Bo' THEN 0 ELSE 1 END ASC", "id") == [2, 1, 3, 4, 5]
 
 
+def test_order_by_number(spark):
+    spec = {"select_columns": ["name", "COUNT(*) AS n"], "table_name": "people", "group_by": ["name"]}
+    assert run(spark, **spec, order_by=["2 DESC", "1 DESC"])[:2] == [("Ada", 2), ("Di", 1)]
+    assert run(spark, select_columns=["area", "id"], table_name="people", order_by=["2 DESC"])[0] == ("S", 5)
+    assert run(spark, **UNION | {"unions": UNION["unions"][:1], "order_by": ["2 DESC"]})[0] == ("Ada", 9)
+    with pytest.raises(ValueError, match="order_by item 3"):
+        run(spark, **spec, order_by=["3"])
+
+
+def test_subqueries_windows_and_generators_are_expressions_too(spark):
+    inside = "EXISTS (SELECT 1 FROM visits v WHERE v.person = p.id AND v.hours > 5)"
+    assert run(spark, **BASE, where_conditions=inside, order_by=["p.id"]) == [(1,), (3,)]
+    assert run(spark, **BASE, where_conditions="p.id NOT IN (SELECT person FROM visits)", order_by=["p.id"]) == [(4,), (5,)]
+    rows = run(
+        spark,
+        select_columns=["id", "row_number() OVER (PARTITION BY area ORDER BY id DESC) AS n"],
+        table_name="people",
+        order_by=["id"],
+    )
+    assert rows == [(1, 2), (2, 2), (3, 1), (4, 1), (5, 1)]
+    assert len(run(spark, select_columns=["explode(array(id, age)) AS v"], table_name="people")) == 10
+
+
 def test_order_by_prefers_the_selected_name(spark):
     rows = run(spark, select_columns=["-id AS id"], table_name="people", order_by=["id"])
     assert rows == [(-5,), (-4,), (-3,), (-2,), (-1,)]
