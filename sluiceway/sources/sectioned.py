@@ -19,8 +19,10 @@ the order of numbered part files.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import operator
+from collections.abc import Callable, Mapping
 from functools import reduce
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -29,32 +31,31 @@ from sluiceway.functions.conform import conform
 from sluiceway.workspace import materialise
 
 _BLANKS = "".join(filter(str.isspace, map(chr, range(0x3001))))
-_SPLIT = ["source", "file", "block"]
+# What orders the splits of all texts; with the running number in the split it orders all lines.
+_SPLIT = ["source", "name_size", "file", "block"]
 
 
 def _placed_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     texts = [
         spark.read.text(path).select(
             F.lit(number).alias("source"),
-            F.concat(
-                F.lpad(F.length("_metadata.file_path"), 6, "0"), F.lit(" "), "_metadata.file_path"
-            ).alias("file"),
+            F.octet_length("_metadata.file_path").alias("name_size"),
+            F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("block"),
-            F.btrim("value", F.lit(_BLANKS)).alias("line"),
+            "value",
         )
         for number, path in enumerate(paths)
     ]
+    line = F.btrim("value", F.lit(_BLANKS))
+    # Most lines start with a printable character, which saves stripping them just to see that.
+    printable = (F.col("value") >= "!") & (F.col("value") < "\x7f")
     marker = F.col("line").startswith("[") & F.col("line").endswith("]")
     # The id holds the partition and the record number inside it, so it is consecutive within a split.
     return (
         reduce(DataFrame.union, texts)
-        .filter(F.col("line") != "")
-        .select(
-            *_SPLIT,
-            F.monotonically_increasing_id().alias("pos"),
-            F.when(marker, F.btrim("line", F.lit("[]"))).alias("section"),
-            "line",
-        )
+        .filter(printable | (line != ""))
+        .select(*_SPLIT, F.monotonically_increasing_id().alias("pos"), line.alias("line"))
+        .select("*", F.when(marker, F.btrim("line", F.lit("[]"))).alias("section"))
     )
 
 
@@ -62,7 +63,7 @@ def _sections(lines: DataFrame) -> DataFrame:
     """One row per table name: where its last section that has a header starts and ends."""
 
     def place(pos: str) -> Column:
-        return F.struct("file", "block", F.col(pos).alias("pos"))
+        return F.struct(*_SPLIT, F.col(pos).alias("pos"))
 
     splits = lines.groupBy(*_SPLIT).agg(
         F.min("pos").alias("first_pos"),
@@ -71,7 +72,7 @@ def _sections(lines: DataFrame) -> DataFrame:
     )
     later = (
         Window.partitionBy("source")
-        .orderBy(F.desc("file"), F.desc("block"))
+        .orderBy(*map(F.desc, _SPLIT[1:]))
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     next_marker = F.when(F.col("marker_pos").isNotNull(), place("marker_pos"))
@@ -91,7 +92,7 @@ def _sections(lines: DataFrame) -> DataFrame:
         .join(splits, _SPLIT)
         .select(
             "section",
-            F.struct("source", "file", "block", "pos").alias("start"),
+            place("pos").alias("start"),
             F.when(F.col("pos") < F.col("last_pos"), place("line_pos"))
             .otherwise(F.col("later_line"))
             .alias("header"),
@@ -103,24 +104,22 @@ def _sections(lines: DataFrame) -> DataFrame:
         markers.filter((F.col("section") != "") & has_header)
         .groupBy("section")
         .agg(F.max(F.struct("start", "header", "end")).alias("s"))
-        .select("section", "s.start.source", "s.header", "s.end")
+        .select("section", "s.header", "s.end")
     )
 
 
-def _after(place) -> Column:
-    in_file = (F.col("block") > place.block) | ((F.col("block") == place.block) & (F.col("pos") > place.pos))
-    return (F.col("file") > place.file) | ((F.col("file") == place.file) & in_file)
-
-
-def _before(place) -> Column:
-    in_file = (F.col("block") < place.block) | ((F.col("block") == place.block) & (F.col("pos") < place.pos))
-    return (F.col("file") < place.file) | ((F.col("file") == place.file) & in_file)
+def _beyond(place, compare: Callable[[Column, Any], Column]) -> Column:
+    """Lines after or before a place of the same text, in terms that Parquet statistics can answer."""
+    condition = compare(F.col("pos"), place.pos)
+    for name in reversed(_SPLIT[1:]):
+        condition = compare(F.col(name), place[name]) | ((F.col(name) == place[name]) & condition)
+    return condition
 
 
 def _table(lines: DataFrame, name: str, columns: list[str], section) -> DataFrame:
-    rows = lines.filter((F.col("source") == section.source) & _after(section.header))
+    rows = lines.filter((F.col("source") == section.header.source) & _beyond(section.header, operator.gt))
     if section.end is not None:
-        rows = rows.filter(_before(section.end))
+        rows = rows.filter(_beyond(section.end, operator.lt))
     # A filter, not a column: a reader of few columns, or a count, must still see a ragged row.
     # Commas are counted, which costs far less than splitting the line once more.
     width = F.octet_length("line") - F.octet_length(F.replace("line", F.lit(","), F.lit(""))) + 1
