@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 _ORDER = re.compile(
@@ -79,33 +79,45 @@ def grouped(
 ) -> DataFrame:
     """GROUP BY with HAVING and ORDER BY; keys, aggregates and both conditions may mix freely.
 
-    All of it goes into one aggregation, as hidden columns where it is not selected. Without
+    All of it is one aggregation, and what is not selected does not show in the result. Without
     ``group_by`` the whole input is one group. As in SQL, a name in HAVING or ORDER BY means the
     selected column before it means one of the input, but inside an aggregate it means the input's.
     """
     groups = df.groupBy(*[_group_key(df, select, key).alias(f"__k{i}") for i, key in enumerate(group_by)])
     outputs = [F.expr(item) for item in select]
-    hidden, keys = [], []
-    if order_by:
-        names = [name.lower() for name in groups.agg(*outputs).columns[len(group_by) :]]
-        for i, (by, way) in enumerate(map(_order, order_by)):
-            by = _at(names, by) or by
-            if names.count(by.strip("`").lower()) == 1:
-                keys.append(getattr(F.col(by), way)())
-            else:
-                hidden.append(F.expr(by).alias(f"__s{i}"))
-                keys.append(getattr(F.col(f"__s{i}"), way)())
+    names = groups.agg(*outputs).columns[len(group_by) :]
+    keys = [(_at(names, by) or by, way) for by, way in map(_order, order_by)]
+    try:
+        result = groups.agg(*outputs)
+        if having:
+            result = result.filter(F.expr(having))
+        if keys:
+            result = _sorted(result, [getattr(F.expr(by), way)() for by, way in keys])
+    except AnalysisException:
+        result = _grouped_with_hidden_columns(groups, outputs, names, having, keys)
+    return result.drop(*[name for name in result.columns if re.fullmatch(r"__(k\d+|h|s\d+)", name)])
+
+
+def _grouped_with_hidden_columns(
+    groups: GroupedData, outputs: list[Column], names: list[str], having: str | None, keys: list[tuple[str, str]]
+) -> DataFrame:
+    """For what Spark does not resolve above an aggregation, as HAVING and ORDER BY on other aggregates."""
+    hidden, sort = [], []
+    names = [name.lower() for name in names]
+    for i, (by, way) in enumerate(keys):
+        if names.count(by.strip("`").lower()) == 1:
+            sort.append(getattr(F.col(by), way)())
+        else:
+            hidden.append(F.expr(by).alias(f"__s{i}"))
+            sort.append(getattr(F.col(f"__s{i}"), way)())
+    result = groups.agg(*outputs, *hidden)
     if having:
         try:
-            result = groups.agg(*outputs, *hidden).filter(F.expr(having))
+            result = result.filter(F.expr(having))
         except AnalysisException:
             # An aggregate of an input column whose name is selected for something else.
             result = groups.agg(*outputs, *hidden, F.expr(having).alias("__h")).filter("__h")
-    else:
-        result = groups.agg(*outputs, *hidden)
-    if keys:
-        result = _sorted(result, keys)
-    return result.drop(*[name for name in result.columns if re.fullmatch(r"__(k\d+|h|s\d+)", name)])
+    return _sorted(result, sort) if sort else result
 
 
 def union_distinct(branches: Sequence[DataFrame]) -> DataFrame:

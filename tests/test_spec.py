@@ -128,6 +128,13 @@ def test_having_and_order_by_that_aggregate_other_things(spark):
     assert run(spark, **spec, having="MIN(p.age) > 5", order_by=["COUNT(*) DESC", "MAX(p.id)"]) == [("N",), ("S",)]
 
 
+@pytest.mark.parametrize("by", ["hours * 2 DESC", "MAX(v.hours) DESC", "MIN(p.age)", "1", "upper(p.area)", "zone", "-SUM(v.hours)"])
+@pytest.mark.parametrize("having", [None, "hours > 0", "SUM(v.hours) > 0", "MIN(p.id) < 3", "zone > 'A'", "p.area > 'A'"])
+def test_having_and_order_by_in_any_combination(spark, by, having):
+    spec = {**GROUPED, "select_columns": ["p.area AS zone", "SUM(v.hours) AS hours"], "order_by": [by]}
+    assert run(spark, **spec, **({"having": having} if having else {})) == [("N", 30), ("S", 1)]
+
+
 def test_group_by_number_and_by_alias(spark):
     spec = {"select_columns": ["upper(name) AS who", "COUNT(*) AS n"], "table_name": "people", "order_by": ["who"]}
     expected = [("ADA", 2), ("BO", 1), ("CY", 1), ("DI", 1)]
