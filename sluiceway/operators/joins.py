@@ -84,7 +84,10 @@ def _semi_or_anti(left: DataFrame, right: DataFrame, how: str, condition: str) -
     }
     comparable = not any("map<" in kind or "variant" in kind for kind in named.values())
     if named and comparable and len(set(right.columns)) == len(right.columns):
-        right = right.select(*[F.col(f"`{column}`") for column in named]).distinct()
+        values = [F.col(f"`{column}`") for column in named]
+        # With their hash as one more column, the distinct values do not lie by the join key yet. So the
+        # join shuffles them itself, and only then may Spark split a hot key of the left side.
+        right = right.select(*values, F.xxhash64(*values).alias("__h")).distinct().select(*values)
     return left.join(right, F.expr(" AND ".join(rest)), how)
 
 
