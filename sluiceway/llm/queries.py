@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .decontam import contamination
 from .shared import table
 from .simhash import simhash_groups
 from .substrings import remove_repeats
@@ -14,6 +15,12 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    named = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
+    return hits.select("doc_id", "n_words", "n_hit", "n_items", named, "contaminated")
+
+
 def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = remove_repeats(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -21,6 +28,7 @@ def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_simhash": op2_simhash,
+    "op3_decontamination": op3_decontamination,
     "op4_substrings": op4_substrings,
 }
 ORACLES: dict[str, str] = {}
