@@ -6,11 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontam import contamination
+from .packing import pack
+from .quality import fit_quality, score_quality
 from .shared import table
 from .simhash import simhash_groups
 from .substrings import remove_repeats
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score_quality(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
 
@@ -26,9 +33,17 @@ def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+
+
 QUERIES = {
+    "op1_quality": op1_quality,
     "op2_simhash": op2_simhash,
     "op3_decontamination": op3_decontamination,
     "op4_substrings": op4_substrings,
+    "op8_packing": op8_packing,
 }
 ORACLES: dict[str, str] = {}
