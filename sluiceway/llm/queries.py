@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontam import contamination
+from .embeddings import near_vectors
 from .packing import pack
 from .quality import fit_quality, score_quality
 from .shared import table
+from .sharding import shard_by_bytes
 from .simhash import simhash_groups
 from .substrings import remove_repeats
 
@@ -33,17 +35,28 @@ def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shards = shard_by_bytes(table(spark, sf_dir, "documents"))
+    return shards.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
 
 
+def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_simhash": op2_simhash,
     "op3_decontamination": op3_decontamination,
     "op4_substrings": op4_substrings,
+    "op5_sharding": op5_sharding,
     "op8_packing": op8_packing,
+    "op9_embeddings": op9_embeddings,
 }
 ORACLES: dict[str, str] = {}

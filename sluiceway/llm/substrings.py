@@ -18,7 +18,8 @@ WINDOW = 20
 #: Words of an anchor: each window is represented by the least hash of its anchors.
 ANCHOR = 8
 _DOCS_PER_BUCKET = 2048
-_PLACE = {"id": "<i8", "key": "<i8", "start": "<i4", "length": "<i4", "known": "|b1"}
+_RUN = {"id": "<i8", "key": "<i8", "start": "<i4", "length": "<i4"}
+_PLACE = {**_RUN, "known": "|b1"}
 
 
 def _hashed(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -60,7 +61,7 @@ def _windows(batch: pa.RecordBatch, window: int) -> dict[str, np.ndarray] | None
         return None
     wanted = np.zeros(len(hashes) - window + 2, np.int64)
     for begin, runs in zip(first.tolist(), batch.column("runs").to_pylist()):
-        places = np.frombuffer(b"".join(runs), "<i4").reshape(-1, 2)
+        places = np.frombuffer(runs, "<i4").reshape(-1, 2)
         np.add.at(wanted, begin + places[:, 0], 1)
         np.add.at(wanted, begin + places[:, 0] + places[:, 1], -1)
     at = np.flatnonzero(np.cumsum(wanted[:-1]) > 0)
@@ -110,28 +111,30 @@ def _per_text(rows: dict[str, np.ndarray]) -> pa.RecordBatch:
     )
 
 
-def _counted(sent: DataFrame, mark_first: bool) -> DataFrame:
-    """Bucket by bucket, the rows whose hash has several (``mark_first``), or has one at an earlier place."""
+def _counted(sent: DataFrame, mark_first: bool, buckets: int) -> DataFrame:
+    """Bucket by bucket, the rows whose hash has several (``mark_first``), or has one at an earlier place.
+
+    They go back as blocks for each bucket of documents, and are dealt out to the documents there: rows for
+    each document and bucket of hashes would be as many as there are windows.
+    """
 
     def count(bucket: pa.Table) -> pa.Table:
         rows = unpacked(bucket, {"hash": "<u8", **_PLACE, "many": "|b1"})
-        known = rows["known"]
-        passed = {k: v[known] for k, v in rows.items()}
-        rows, begins, first = _groups({k: v[~known] for k, v in rows.items()})
+        passed = {k: v[rows["known"]] for k, v in rows.items()}
+        rows, begins, first = _groups({k: v[~rows["known"]] for k, v in rows.items()})
         if mark_first:
-            counts = np.bincount(first, weights=1 + rows["many"], minlength=len(first))
-            found = counts[first] > 1
-            known_first = passed
+            found = np.bincount(first, weights=1 + rows["many"], minlength=len(first))[first] > 1
         else:
-            found, known_first = ~begins, passed
-        return pa.Table.from_batches([_per_text({k: np.concatenate([known_first[k], rows[k][found]]) for k in _PLACE})])
-
-    return (
-        sent.groupBy("bucket")
-        .applyInArrow(count, "sub_id long, sub_key long, runs binary")
-        .groupBy("sub_id", "sub_key")
-        .agg(F.collect_list("runs").alias("runs"))
-    )
+            found = ~begins
+        found = {k: np.concatenate([passed[k], rows[k][found]]) for k in _RUN}
+        owner = (mixed(found["id"].view(np.uint64)) ^ mixed(found["key"].view(np.uint64))) % np.uint64(buckets)
+        return pa.Table.from_batches([packed("owner", owner.astype(np.int64), found)])
+
+    def dealt(owner: pa.Table) -> pa.Table:
+        return pa.Table.from_batches([_per_text(unpacked(owner, _RUN))])
+
+    found = sent.groupBy("bucket").applyInArrow(count, "owner long, id binary, key binary, start binary, length binary")
+    return found.groupBy("owner").applyInArrow(dealt, "sub_id long, sub_key long, runs binary")
 
 
 def remove_repeats(
@@ -183,7 +186,7 @@ def remove_repeats(
                 words = (text.as_py() or "").encode().split()
                 counts.append(len(words))
                 if runs:
-                    starts = np.frombuffer(b"".join(runs), "<i4").reshape(-1, 2)[:, 0]
+                    starts = np.frombuffer(runs, "<i4").reshape(-1, 2)[:, 0]
                     depth = np.zeros(len(words) + 1, np.int64)
                     np.add.at(depth, starts, 1)
                     np.add.at(depth, starts + window, -1)
@@ -196,10 +199,10 @@ def remove_repeats(
             )
 
     keys = ["sub_id", "sub_key"]
-    repeated = _counted(rows.select(*keys, "text").mapInArrow(anchors, places), True)
+    repeated = _counted(rows.select(*keys, "text").mapInArrow(anchors, places), True, buckets)
     # Both joins shuffle the same rows by the same keys, so Spark moves the texts once.
     windows = rows.join(repeated, keys, "left").where("runs is not null").mapInArrow(candidates, places)
-    result = rows.join(_counted(windows, False), keys, "left").mapInArrow(
+    result = rows.join(_counted(windows, False, buckets), keys, "left").mapInArrow(
         kept, f"sub_doc {kinds['sub_doc']}, n_words long, n_removed long, kept_text string, sub_carry {kinds['sub_carry']}"
     )
     return result.select(F.col("sub_doc").alias(id_col), "n_words", "n_removed", "kept_text", *[F.col(f"sub_carry.`{c}`").alias(c) for c in carry])
