@@ -7,12 +7,15 @@ from pyspark.sql import functions as F
 
 from .decontam import contamination
 from .embeddings import near_vectors
+from .langid import fit_language, predict_language
 from .packing import pack
 from .quality import fit_quality, score_quality
 from .shared import table
+from sluiceway.workspace import new_work_path
 from .sharding import shard_by_bytes
 from .simhash import simhash_groups
 from .substrings import remove_repeats
+from .warc import read_warc, write_warc
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,6 +43,17 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_work_path(spark, "warc")
+    write_warc(table(spark, sf_dir, "pages"), folder)
+    return read_warc(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return predict_language(docs, fit_language(docs))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -56,6 +70,8 @@ QUERIES = {
     "op3_decontamination": op3_decontamination,
     "op4_substrings": op4_substrings,
     "op5_sharding": op5_sharding,
+    "op6_warc": op6_warc,
+    "op7_language": op7_language,
     "op8_packing": op8_packing,
     "op9_embeddings": op9_embeddings,
 }

@@ -29,8 +29,8 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut record batches so that the texts of each piece hold about ``size`` bytes; a longer text stands alone."""
+def slices(batches: Iterator[pa.RecordBatch], text: str, size: int = SLICE_BYTES, rows: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Cut record batches into pieces of at most ``rows``, with about ``size`` bytes of text; a longer text stands alone."""
     import numpy as np
     import pyarrow.compute as pc
 
@@ -40,7 +40,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, size: int = SLICE_BYTES
         begin = 0
         while begin < batch.num_rows:
             base = ends[begin - 1] if begin else 0
-            end = max(begin + 1, int(np.searchsorted(ends, base + size, side="right")))
+            end = max(begin + 1, min(begin + rows, int(np.searchsorted(ends, base + size, side="right"))))
             yield batch.slice(begin, end - begin)
             begin = end
 
