@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .decontam import contamination
 from .embeddings import near_vectors
 from .langid import fit_language, predict_language
+from .lm import score_texts
 from .packing import pack
 from .quality import fit_quality, score_quality
 from .shared import table
@@ -64,6 +65,10 @@ def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_simhash": op2_simhash,
@@ -74,5 +79,6 @@ QUERIES = {
     "op7_language": op7_language,
     "op8_packing": op8_packing,
     "op9_embeddings": op9_embeddings,
+    "op10_lm_scoring": op10_lm_scoring,
 }
 ORACLES: dict[str, str] = {}

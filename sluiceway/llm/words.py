@@ -66,7 +66,7 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         sums = np.zeros(len(part) + 1, np.uint64)
         np.cumsum(byte[part] * _powers(_RADIX, len(part)), out=sums[1:])
         s, e = starts[begin:end] - base, ends[begin:end] - base
-        out[begin:end] = (sums[e] - sums[s]) * _powers(_RADIX_INVERSE, len(part))[s]
+        out[begin:end] = (sums[e] - sums[s]) * _powers(_RADIX_INVERSE, len(part) + 1)[s]
         begin = end
     for i in np.flatnonzero(long):
         out[i] = xxhash.xxh64_intdigest(data[starts[i] : ends[i]].tobytes())
