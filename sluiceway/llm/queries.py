@@ -9,6 +9,7 @@ from .decontam import contamination
 from .embeddings import near_vectors
 from .langid import fit_language, predict_language
 from .lm import score_texts
+from .oracles import ORACLES as ORACLES
 from .packing import pack
 from .quality import fit_quality, score_quality
 from .shared import table
@@ -81,4 +82,3 @@ QUERIES = {
     "op9_embeddings": op9_embeddings,
     "op10_lm_scoring": op10_lm_scoring,
 }
-ORACLES: dict[str, str] = {}
