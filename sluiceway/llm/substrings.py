@@ -164,7 +164,7 @@ def remove_repeats(
         text.alias("text"),
         F.struct(F.lit(0).alias("none"), *[F.col(c) for c in carry]).alias("sub_carry"),
     )
-    buckets = max(4 * shuffle_partitions(docs.sparkSession), docs.count() // _DOCS_PER_BUCKET)
+    buckets = max(shuffle_partitions(docs.sparkSession), docs.count() // _DOCS_PER_BUCKET)
     places = "bucket long, hash binary, id binary, key binary, start binary, length binary, known binary, many binary"
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
