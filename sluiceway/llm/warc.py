@@ -118,6 +118,7 @@ def write_warc(
     is an empty payload, a null url is replaced by a name, a null id counts as the smallest. Other columns are
     ignored. ``folder`` is a URI that pyarrow can write; all executors must reach it.
     """
+    _Output(folder)  # the folder is there even for an empty table
     payload = F.coalesce(F.col(html_col).cast("string"), F.lit("")).cast("binary")
     rows = pages.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("key"), F.col(url_col).cast("string").alias("url"), payload.alias("payload"))
     digests = rows.where(F.octet_length("payload") >= LEAST_REVISIT).select("key", F.sha2("payload", 256).alias("digest"))
@@ -206,7 +207,7 @@ def read_warc(spark: SparkSession, folder: str) -> DataFrame:
     Files that no manifest lists are left out; a listed file that is missing or of another length raises, as
     does a record with a wrong digest.
     """
-    listed = spark.read.schema("file string, bytes long, records long, sha256 string").json(f"{folder}/*.manifest.json")
+    listed = spark.read.schema("file string, bytes long, records long, sha256 string").option("pathGlobFilter", "*.manifest.json").json(folder)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(folder)
     files = files.select(F.element_at(F.split("path", "/"), -1).alias("file"), "length", "content")
     # Reads names and lengths only.
