@@ -111,7 +111,9 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     scaled = F.transform("v", lambda v: v / F.col("largest"))
     rows = rows.withColumn("w", F.when(F.col("usable"), scaled)).withColumn("group", F.xxhash64("w"))
     classes = rows.where("usable").groupBy("group", "w").agg(F.min("id").alias("least"), F.count("*").alias("copies"))
-    classes = saved(classes.withColumnRenamed("w", "v").withColumn("unit", F.transform("v", lambda v: v / F.sqrt(squares))), "classes")
+    classes = classes.withColumnRenamed("w", "v").withColumn("unit", F.transform("v", lambda v: v / F.sqrt(squares)))
+    # Numbers are fixed by being saved; an id may stand in several classes.
+    classes = saved(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
     lengths = classes.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").limit(1).collect()
     single = rows.where("not usable").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     if not lengths:
@@ -120,7 +122,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     axes = principal_axes(usual)
     count = usual.count()
     first = sum((F.element_at("unit", k + 1) * float(x) for k, x in enumerate(axes[:, 0])), F.lit(0.0))
-    placed = usual.select("least", "copies", "v", "unit", first.alias("first"))
+    placed = usual.select("node", "copies", "v", "unit", first.alias("first"))
     # One border for each tile: what the driver holds is about a thousandth of the number of vectors.
     parts = max(1, count // tile)
     borders = sorted(set(placed.approxQuantile("first", [k / parts for k in range(1, parts)], 0.2 / parts))) if parts > 1 else []
@@ -137,19 +139,18 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(own.astype(np.int64)), pa.array(np.searchsorted(borders, first + reach, side="right").astype(np.int64)), pa.array(salt),
-                    batch.column("least"), batch.column("copies"),
+                    batch.column("node"), batch.column("copies"),
                     pa.array([x.tobytes() for x in exact], pa.binary()), pa.array([x.tobytes() for x in turned], pa.binary()),
                 ],
-                ["tile", "last", "salt", "least", "copies", "exact", "turned"],
+                ["tile", "last", "salt", "node", "copies", "exact", "turned"],
             )
 
-    salted = placed.withColumn("salt", F.xxhash64("least")).select("least", "copies", "v", "unit", "first", "salt")
-    kind = dict(rows.dtypes)["id"]
-    flat = saved(salted.mapInArrow(tiled, f"tile long, last long, salt long, least {kind}, copies long, exact binary, turned binary"), "tiles")
+    salted = placed.withColumn("salt", F.xxhash64("node")).select("node", "copies", "v", "unit", "first", "salt")
+    flat = saved(salted.mapInArrow(tiled, "tile long, last long, salt long, node long, copies long, exact binary, turned binary"), "tiles")
     # A tile with many vectors at one place is cut into blocks by a hash, so that none outgrows a task.
     tiles = saved(flat.groupBy("tile").agg(F.max("last").alias("last"), F.ceil(F.count("*") / BLOCK).alias("blocks")), "extent")
     flat = flat.join(tiles.select("tile", "blocks"), "tile").withColumn("block", F.pmod("salt", F.col("blocks")))
-    packed = flat.groupBy("tile", "block").agg(F.collect_list(F.struct("least", "copies", "exact", "turned")).alias("rows"))
+    packed = flat.groupBy("tile", "block").agg(F.collect_list(F.struct("node", "copies", "exact", "turned")).alias("rows"))
     packed = saved(packed, "blocks")
     meets = tiles.select(F.col("tile").alias("a_tile"), "blocks", F.explode(F.sequence("tile", "last")).alias("b_tile"))
     meets = meets.select("a_tile", "b_tile", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("a_block"))
@@ -165,7 +166,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
 
     def unpacked(rows: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
         read = lambda name: np.frombuffer(b"".join(rows.field(name).to_pylist())).reshape(len(rows), -1)
-        return rows.field("least"), rows.field("copies").to_numpy(), read("exact"), read("turned")
+        return rows.field("node"), rows.field("copies").to_numpy(), read("exact"), read("turned")
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -183,14 +184,16 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
                 np.add.at(links, j, copies[i])
                 label, linked = _labels(len(ids), i, j), np.flatnonzero(links)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(linked)), pa.array(links[linked]), ids.take(pa.array(label[linked]))], ["least", "links", "other"]
+                    [ids.take(pa.array(linked)), pa.array(links[linked]), ids.take(pa.array(label[linked]))], ["node", "links", "other"]
                 )
 
-    found = saved(pairs.mapInArrow(compared, f"least {kind}, links long, other {kind}"), "links")
-    counts = found.groupBy("least").agg(F.sum("links").alias("links"))
-    linked = connected_components(found.select(F.col("least").cast("long").alias("src"), F.col("other").cast("long").alias("dst")))
-    named = classes.select("group", F.col("v").alias("w"), "least", "copies").join(counts, "least", "left").join(linked, F.col("least") == F.col("node"), "left")
-    named = named.select("group", "w", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce(F.col("component").cast(kind), "least").alias("component_id"))
+    found = saved(pairs.mapInArrow(compared, "node long, links long, other long"), "links")
+    counts = found.groupBy("node").agg(F.sum("links").alias("links"))
+    linked = connected_components(found.select(F.col("node").alias("src"), F.col("other").alias("dst")))
+    named = classes.select("node", "group", F.col("v").alias("w"), "least", "copies").join(counts, "node", "left").join(linked, "node", "left")
+    named = saved(named.withColumn("component", F.coalesce("component", "node")), "named")
+    smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = named.join(smallest, "component").select("group", "w", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id")
     named = saved(named, "named")
     result = rows.where("usable").join(named, ["group", "w"]).select("id", "n_links", "component_id").unionByName(single)
     return result.select(F.col("id").alias(id_col), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
