@@ -1,0 +1,64 @@
+"""Benchmark passages in documents against brute force over all windows."""
+
+import re
+
+from corpora import SCHEMA, frame, hard_rows, words
+from sluiceway.llm.decontam import contamination, without_leaks
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def alnum(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+
+
+def brute(text, items):
+    ws, hit, found = alnum(text), set(), set()
+    for item, item_text in items:
+        its = alnum(item_text)
+        width = min(10, len(its))
+        for j in range(len(its) - width + 1 if its else 0):
+            for i in range(len(ws) - width + 1):
+                if ws[i : i + width] == its[j : j + width]:
+                    hit.update(range(i, i + width))
+                    if item is not None:
+                        found.add(str(item))
+    return len(ws), len(hit), len(found), sorted(found), bool(hit)
+
+
+ITEMS = [
+    (1, words(1, 12)), (2, words(1, 40)), (10, "One, two: three!"), (11, "ÜNÏ"), (12, words(7, 30).upper()), (12, "data"), (3, None), (4, ""), (5, "..."),
+    (None, "w1"), (6, words(1, 12)), (7, words(6, 6000)),
+]
+
+
+def test_hard_rows_with_clashing_columns(spark):
+    rows = hard_rows()
+    benchmark = spark.createDataFrame([(*i, "own") for i in ITEMS], "item_id long, text string, width string")
+    got = contamination(frame(spark, rows, clashing=True), benchmark).collect()
+    expected = sorted(((r[0], *brute(r[1], ITEMS)) for r in rows), key=repr)
+    assert sorted((tuple(r) for r in got), key=repr) == expected
+    assert any(r.contaminated for r in got) and not all(r.contaminated for r in got)
+
+
+def test_only_whole_windows_count(spark):
+    item = words(3, 25)
+    parts = item.split()
+    rows = [(1, " ".join(parts[:9])), (2, " ".join(parts[5:15])), (3, " ".join(["x", *parts[3:14], "y"])), (4, " ".join(parts[:9] + ["x"] + parts[10:19]))]
+    got = contamination(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(8, item)], "item_id long, text string"))
+    assert {r.doc_id: r.n_hit for r in got.collect()} == {1: 0, 2: 10, 3: 11, 4: 0}
+
+
+def test_empty_tables(spark):
+    docs = frame(spark, hard_rows())
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert contamination(spark.createDataFrame([], SCHEMA), spark.createDataFrame(ITEMS, "item_id long, text string")).collect() == []
+    assert {r.contaminated for r in contamination(docs, none).collect()} == {False}
+    assert without_leaks(docs, none).count() == docs.count()
+
+
+def test_no_python_in_the_plan(spark):
+    docs = frame(spark, hard_rows())
+    benchmark = spark.createDataFrame(ITEMS, "item_id long, text string")
+    plan = contamination(docs, benchmark)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
