@@ -75,7 +75,7 @@ ORACLES = {
         SELECT p_brand, COUNT(*) AS parts FROM part GROUP BY p_brand HAVING p_brand = 'Brand#2'""",
     "group_stats": """
         SELECT l_returnflag, MIN(l_quantity) AS min_qty, MAX(l_quantity) AS max_qty,
-               AVG(l_quantity) > 25 AS above_25, COUNT(*) AS items
+               CAST(CAST(AVG(l_quantity) AS DECIMAL(18,4)) AS DOUBLE) AS avg_qty, COUNT(*) AS items
         FROM lineitem GROUP BY l_returnflag""",
     "global_count": "SELECT COUNT(*) AS items FROM lineitem",
     "left_join": LEFT_JOIN,
@@ -87,8 +87,8 @@ ORACLES = {
         SELECT c.c_custkey, s.s_suppkey FROM customer c FULL JOIN supplier s ON c.c_custkey = s.s_suppkey + 1450""",
     "full_join_items": """
         SELECT o.o_orderkey, o.o_orderstatus, l.l_partkey, l.l_quantity
-        FROM (SELECT * FROM orders WHERE o_totalprice > 250000) o
-        FULL JOIN (SELECT * FROM lineitem WHERE l_quantity > 40) l ON o.o_orderkey = l.l_orderkey""",
+        FROM orders o
+        FULL JOIN lineitem l ON o.o_orderkey = l.l_orderkey AND o.o_totalprice > 250000 AND l.l_quantity > 40""",
     "semi_join": """
         SELECT c_custkey, c_name FROM customer
         WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 490000)""",

@@ -86,7 +86,7 @@ GROUP_STATS = {
         "l.l_returnflag",
         "MIN(l.l_quantity) AS min_qty",
         "MAX(l.l_quantity) AS max_qty",
-        "CAST(AVG(CAST(l.l_quantity AS DECIMAL(18,2))) AS DECIMAL(18,3)) > 25 AS above_25",
+        "CAST(CAST(AVG(CAST(l.l_quantity AS DECIMAL(18,2))) AS DECIMAL(18,4)) AS DOUBLE) AS avg_qty",
         "COUNT(*) AS items",
     ],
     "table_name": "lineitem l",
@@ -102,7 +102,7 @@ LEFT_JOIN = {
         {
             "join_type": "LEFT",
             "join_table": "lineitem l",
-            "join_condition": "p.p_partkey = l.l_partkey AND l.l_quantity > 49",
+            "join_condition": ["p.p_partkey = l.l_partkey", "l.l_quantity > 49"],
             "hot_keys": True,
         }
     ],
@@ -114,7 +114,7 @@ RIGHT_JOIN = {
         {
             "join_type": "RIGHT",
             "join_table": "part p",
-            "join_condition": "p.p_partkey = l.l_partkey AND l.l_quantity > 49",
+            "join_condition": ["p.p_partkey = l.l_partkey", "l.l_quantity > 49"],
             "hot_keys": True,
         }
     ],
@@ -139,12 +139,12 @@ FULL_JOIN = {
 }
 FULL_JOIN_ITEMS = {
     "select_columns": ["o.o_orderkey", "o.o_orderstatus", "l.l_partkey", "l.l_quantity"],
-    "table_name": "(SELECT * FROM orders WHERE o_totalprice > 250000) o",
+    "table_name": "orders o",
     "join_conditions": [
         {
             "join_type": "FULL OUTER",
-            "join_table": "(SELECT * FROM lineitem WHERE l_quantity > 40) l",
-            "join_condition": "o.o_orderkey = l.l_orderkey",
+            "join_table": "lineitem l",
+            "join_condition": ["o.o_orderkey = l.l_orderkey", "o.o_totalprice > 250000", "l.l_quantity > 40"],
             "hot_keys": True,
         }
     ],
@@ -285,7 +285,7 @@ def from_spec(name: str):
 def pass_through(spark: SparkSession, sf_dir: str) -> DataFrame:
     register(spark, sf_dir, "customer")
     inner = from_item(spark, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
-    return ordered(inner.select("c_custkey", "c_name", "c_acctbal"), ["c_custkey"])
+    return inner.select("c_custkey", "c_name", "c_acctbal")
 
 
 def source_query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,14 +24,19 @@ def conform(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     Casts follow the session's ANSI mode, so by default a value that does not fit raises.
     """
     return df.withColumns(
-        {name: F.col(name).cast(WAREHOUSE_TYPES.get(kind.strip().upper(), kind)) for name, kind in types.items()}
+        {name: F.col(f"`{name}`").cast(WAREHOUSE_TYPES.get(kind.strip().upper(), kind)) for name, kind in types.items()}
     )
 
 
 def time_of_day(ts: Column | str | None = None) -> Column:
-    """``HH:mm:ss`` of a timestamp, or of now. Works alike with and without a time zone."""
+    """``HH:mm:ss`` of a timestamp with or without a time zone, a date or a text, or of now.
+
+    A text is cast to a timestamp without a time zone, so under ANSI one that is none raises.
+    """
     if ts is None:
         ts = F.current_timestamp()
     elif isinstance(ts, str):
         ts = F.col(ts)
-    return F.substring(F.split_part(ts.cast("string"), F.lit(" "), F.lit(2)), 1, 8)
+    # As text a value with a zone has the session's local time, and one without keeps its own.
+    whole = F.to_timestamp_ntz(ts.cast("string")).cast("string")
+    return F.substring(F.split_part(whole, F.lit(" "), F.lit(2)), 1, 8)

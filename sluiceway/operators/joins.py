@@ -2,22 +2,27 @@
 
 Adaptive execution splits a skewed partition of an inner join on both sides, and of an outer, semi or
 anti join on the side that is kept. The other side stays whole, so there one key with a large share of
-the rows would end in one task. Here:
-
-* The right side of a semi or anti join is reduced to the distinct values the condition looks at. That
-  collapses copies before the shuffle.
-* ``hot_keys`` on a left, right or full join computes it as the inner join, which can be split on both
-  sides, plus the unmatched rows from anti joins. It reads the inputs twice, so it is a choice.
+the rows would end in one task. ``hot_keys`` asks for a plan without that, for more work in total:
+
+* The right side of a semi or anti join is reduced to the distinct values the condition looks at, which
+  collapses copies before the shuffle. Conditions given as a list are taken one by one: those on the right
+  side alone become filters below. A right column that is compared besides the key stays next to it, so
+  then a key is only reduced to its distinct combinations.
+* A left, right or full join is computed as the inner join, which can be split on both sides, plus the
+  unmatched rows from anti joins. The left input is checkpointed first and so computed once, however many
+  such joins follow one another; the right input is read once for each part.
 """
 
 from __future__ import annotations
 
-import re
+from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sluiceway.workspace import checkpointed
+
 _KEEPS_LEFT = {"left", "left_outer", "full", "outer", "full_outer"}
 _KEEPS_RIGHT = {"right", "right_outer", "full", "outer", "full_outer"}
 _LEFT_ONLY = {"semi", "left_semi", "anti", "left_anti"}
@@ -35,29 +40,27 @@ def join(
     left: DataFrame,
     right: DataFrame,
     join_type: str = "inner",
-    condition: str | None = None,
+    condition: str | Sequence[str] | None = None,
     hot_keys: bool = False,
 ) -> DataFrame:
-    """Join on any boolean expression. A cross join takes no condition; every other join needs one."""
+    """Join on any boolean expression, or on all of several. A cross join takes none; every other join needs one."""
     how = join_name(join_type)
     if how == "cross":
         if condition is not None:
             raise ValueError("a cross join takes no condition")
         return left.crossJoin(right)
-    if condition is None:
+    parts = [condition] if isinstance(condition, str) else list(condition or ())
+    if not parts:
         raise ValueError(f"a {join_type} join needs a condition")
-    if how in _LEFT_ONLY:
-        return _semi_or_anti(left, right, how, condition)
+    if hot_keys and how in _LEFT_ONLY:
+        return _with_distinct_right(left, right, how, parts)
     if hot_keys and how in _KEEPS_LEFT | _KEEPS_RIGHT:
-        return _outer_in_parts(left, right, how, condition)
-    return left.join(right, F.expr(condition), how)
+        return _outer_in_parts(checkpointed(left), right, how, parts)
+    return left.join(right, F.expr(_all(parts)), how)
 
 
-def _conjuncts(condition: str) -> list[str]:
-    """The parts of a plain ``a AND b AND c``; anything less plain stays in one piece."""
-    if re.search(r"""['"`(]|\b(or|not|between|case)\b""", condition, re.IGNORECASE):
-        return [condition]
-    return re.split(r"\s+and\s+", condition, flags=re.IGNORECASE)
+def _all(parts: Sequence[str]) -> str:
+    return " AND ".join(f"({part})" for part in parts)
 
 
 def _resolves(df: DataFrame, expression: str) -> bool:
@@ -68,39 +71,36 @@ def _resolves(df: DataFrame, expression: str) -> bool:
     return True
 
 
-def _semi_or_anti(left: DataFrame, right: DataFrame, how: str, condition: str) -> DataFrame:
-    parts = _conjuncts(condition)
+def _with_distinct_right(left: DataFrame, right: DataFrame, how: str, parts: list[str]) -> DataFrame:
     own = [part for part in parts if _resolves(right, part) and not _resolves(left, part)]
     for part in own:
         right = right.filter(F.expr(part))
     rest = [part for part in parts if part not in own]
     if not rest:
         return left.join(right.limit(1), F.lit(True), how)
-    # Columns whose name occurs in the condition. One too many does no harm.
-    named = {
-        column: kind
-        for column, kind in right.dtypes
-        if re.search(rf"(?<!\w){re.escape(column)}(?!\w)", condition, re.IGNORECASE)
-    }
-    comparable = not any("map<" in kind or "variant" in kind for kind in named.values())
-    if named and comparable and len(set(right.columns)) == len(right.columns):
-        values = [F.col(f"`{column}`") for column in named]
-        # With their hash as one more column, the distinct values do not lie by the join key yet. So the
-        # join shuffles them itself, and only then may Spark split a hot key of the left side.
-        right = right.select(*values, F.xxhash64(*values).alias("__h")).distinct().select(*values)
-    return left.join(right, F.expr(" AND ".join(rest)), how)
+    columns = right.columns
+    if len(set(columns)) == len(columns):
+        # A column is looked at if the rest can't be resolved without it.
+        looked_at = [c for c in columns if not _resolves(left.crossJoin(right.drop(c)), _all(rest))]
+        kinds = dict(right.dtypes)
+        if looked_at and not any("map<" in kinds[c] or "variant" in kinds[c] for c in looked_at):
+            values = [F.col(f"`{c}`") for c in looked_at]
+            # With their hash as one more column, the distinct values do not lie by the join key yet. So the
+            # join shuffles them itself, and only then may Spark split a hot key of the left side.
+            right = right.select(*values, F.xxhash64(*values).alias("__h")).distinct().select(*values)
+    return left.join(right, F.expr(_all(rest)), how)
 
 
 def _nulls(df: DataFrame) -> list:
     return [F.lit(None).cast(field.dataType).alias(field.name) for field in df.schema.fields]
 
 
-def _outer_in_parts(left: DataFrame, right: DataFrame, how: str, condition: str) -> DataFrame:
-    result = left.join(right, F.expr(condition), "inner")
+def _outer_in_parts(left: DataFrame, right: DataFrame, how: str, parts: list[str]) -> DataFrame:
+    result = left.join(right, F.expr(_all(parts)), "inner")
     if how in _KEEPS_LEFT:
-        unmatched = _semi_or_anti(left, right, "left_anti", condition)
+        unmatched = _with_distinct_right(left, right, "left_anti", parts)
         result = result.union(unmatched.select("*", *_nulls(right)))
     if how in _KEEPS_RIGHT:
-        unmatched = _semi_or_anti(right, left, "left_anti", condition)
+        unmatched = _with_distinct_right(right, left, "left_anti", parts)
         result = result.union(unmatched.select(*_nulls(left), "*"))
     return result

@@ -27,10 +27,10 @@ LOAD_TYPES = ("append", "truncate", "overwrite")
 
 @dataclass(frozen=True)
 class LoadResult:
-    """What a load did."""
+    """What a load did. ``rows_removed`` is None where a connector does not tell."""
 
     target: str
-    rows_removed: int
+    rows_removed: int | None
     rows_loaded: int
     created: bool
 
@@ -113,16 +113,32 @@ def load_external(
     """
     _check_arguments(df, load_type, direct and bool(conditions or nonempty or sized))
 
-    def write(rows: DataFrame) -> tuple[int, bool]:
+    def write(rows: DataFrame) -> tuple[int | None, bool]:
         mode = "append" if load_type == "append" else "overwrite"
         rows.write.format(fmt).options(**options).mode(mode).save()
-        return 0, False
+        return (0 if load_type == "append" else None), False
 
     target = str(options.get("table") or options.get("dbtable") or options.get("path") or fmt)
     staged = not direct and bool(load_type != "append" or conditions or nonempty or sized)
     return _run(audited(df), target, write, conditions or {}, nonempty, sized, staged)
 
 
+def load_item(df: DataFrame, table: str, item: Mapping[str, Any], **load_options: Any) -> LoadResult:
+    """Load as a declared item says: into a catalog table, or with ``format`` and ``options`` through a connector.
+
+    The connector gets the table's name as ``table``, unless the options say where to write.
+    """
+    load_type = item.get("load_type", "append")
+    if "format" not in item:
+        if "options" in item:
+            raise ValueError("options need a connector format")
+        return load(df, table, load_type, **load_options)
+    options = dict(item.get("options") or {})
+    if not {"table", "dbtable", "path"} & set(options):
+        options["table"] = table
+    return load_external(df, item["format"], load_type, **load_options, **options)
+
+
 def _check_arguments(df: DataFrame, load_type: str, direct_but_gated: bool) -> None:
     if load_type not in LOAD_TYPES:
         raise ValueError(f"load_type must be one of {', '.join(LOAD_TYPES)}, not {load_type!r}")
@@ -146,7 +162,7 @@ def _aligned(rows: DataFrame, columns: list[str], table: str) -> DataFrame:
 def _run(
     rows: DataFrame,
     target: str,
-    write: Callable[[DataFrame], tuple[int, bool]],
+    write: Callable[[DataFrame], tuple[int | None, bool]],
     conditions: Mapping[str, str],
     nonempty: bool,
     sized: bool,

@@ -25,16 +25,23 @@ def _order(item: str) -> tuple[str, str]:
 
 
 def _sorted(df: DataFrame, keys: Sequence[Column]) -> DataFrame:
-    # Rows that tie may come in any order. The last key lets range partitioning cut through a long run
-    # of ties; it stays the same when a task runs again.
-    return df.orderBy(*keys, F.spark_partition_id())
+    # Rows that tie may come in any order. A hash of the row as the last key lets range partitioning cut
+    # through a long run of ties; unlike a partition number it lets filters above pass the sort.
+    names = [name.lower() for name in df.columns]
+    spread = [
+        F.col(f"`{name.replace('`', '``')}`")
+        for name, kind in df.dtypes
+        if names.count(name.lower()) == 1 and "map<" not in kind and "variant" not in kind
+    ]
+    return df.orderBy(*keys, *([F.xxhash64(*spread)] if spread else []))
 
 
 def ordered(df: DataFrame, order_by: Sequence[str], select: Sequence[str] = ()) -> DataFrame:
     """Sort by ``"expression [ASC|DESC] [NULLS FIRST|LAST]"`` items, first item first.
 
-    A number stands for the column at that position. ``select`` gives the expressions behind the columns of ``df`` where these no longer resolve, as
-    after a union: an item that repeats one of them sorts by its column.
+    A number stands for the column at that position. ``select`` gives the expressions behind the columns
+    of ``df`` where these no longer resolve, as after a union: an item that repeats one of them sorts by
+    its column.
     """
     named = {
         item.strip(): f"`{name}`"
@@ -83,7 +90,9 @@ def grouped(
     ``group_by`` the whole input is one group. As in SQL, a name in HAVING or ORDER BY means the
     selected column before it means one of the input, but inside an aggregate it means the input's.
     """
-    groups = df.groupBy(*[_group_key(df, select, key).alias(f"__k{i}") for i, key in enumerate(group_by)])
+    mark = _unused([*df.columns, *select, *group_by, *order_by, having or ""])
+    hidden = [f"{mark}k{i}" for i in range(len(group_by))]
+    groups = df.groupBy(*[_group_key(df, select, key).alias(name) for key, name in zip(group_by, hidden)])
     outputs = [F.expr(item) for item in select]
     names = groups.agg(*outputs).columns[len(group_by) :]
     keys = [(_at(names, by) or by, way) for by, way in map(_order, order_by)]
@@ -94,30 +103,44 @@ def grouped(
         if keys:
             result = _sorted(result, [getattr(F.expr(by), way)() for by, way in keys])
     except AnalysisException:
-        result = _grouped_with_hidden_columns(groups, outputs, names, having, keys)
-    return result.drop(*[name for name in result.columns if re.fullmatch(r"__(k\d+|h|s\d+)", name)])
+        result, more = _grouped_with_hidden_columns(groups, outputs, names, having, keys, mark)
+        hidden += more
+    return result.drop(*hidden)
+
+
+def _unused(texts: Sequence[str]) -> str:
+    """A beginning for names that occurs in none of the texts, so no output can have such a name."""
+    mark, whole = "__", "\n".join(texts).lower()
+    while mark in whole:
+        mark += "_"
+    return mark
 
 
 def _grouped_with_hidden_columns(
-    groups: GroupedData, outputs: list[Column], names: list[str], having: str | None, keys: list[tuple[str, str]]
-) -> DataFrame:
-    """For what Spark does not resolve above an aggregation, as HAVING and ORDER BY on other aggregates."""
-    hidden, sort = [], []
+    groups: GroupedData, outputs: list[Column], names: list[str], having: str | None, keys: list[tuple[str, str]], mark: str
+) -> tuple[DataFrame, list[str]]:
+    """For what Spark does not resolve above an aggregation, as HAVING and ORDER BY on other aggregates.
+
+    Gives the result and the names of the columns that were added to it.
+    """
+    hidden, sort, added = [], [], []
     names = [name.lower() for name in names]
     for i, (by, way) in enumerate(keys):
         if names.count(by.strip("`").lower()) == 1:
             sort.append(getattr(F.col(by), way)())
         else:
-            hidden.append(F.expr(by).alias(f"__s{i}"))
-            sort.append(getattr(F.col(f"__s{i}"), way)())
+            added.append(f"{mark}s{i}")
+            hidden.append(F.expr(by).alias(added[-1]))
+            sort.append(getattr(F.col(added[-1]), way)())
     result = groups.agg(*outputs, *hidden)
     if having:
         try:
             result = result.filter(F.expr(having))
         except AnalysisException:
             # An aggregate of an input column whose name is selected for something else.
-            result = groups.agg(*outputs, *hidden, F.expr(having).alias("__h")).filter("__h")
-    return _sorted(result, sort) if sort else result
+            added.append(f"{mark}h")
+            result = groups.agg(*outputs, *hidden, F.expr(having).alias(added[-1])).filter(F.col(added[-1]))
+    return (_sorted(result, sort) if sort else result), added
 
 
 def union_distinct(branches: Sequence[DataFrame]) -> DataFrame:

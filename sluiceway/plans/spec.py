@@ -3,9 +3,11 @@
 Keys: ``select_columns`` and ``table_name`` (required), ``join_conditions``, ``where_conditions``,
 ``group_by``, ``having``, ``order_by`` and ``unions``, a list of mappings with the same keys but no
 ``unions`` of their own. A union has set semantics, so the order of one branch has no effect; the order
-of the top level sorts the result. Other keys are not read.
+of the top level sorts the result. The top level may also have the load keys of :func:`stage_from_spec`.
+Any other key is an error, since a misspelt condition would otherwise let all rows through.
 
-A join may also carry ``hot_keys: True``, see :mod:`sluiceway.operators.joins`.
+A join may also carry ``hot_keys: True``, and its ``join_condition`` may be a list of conditions that must
+all hold, see :mod:`sluiceway.operators.joins`.
 """
 
 from __future__ import annotations
@@ -18,13 +20,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluiceway.operators.joins import join, join_name
-from sluiceway.operators.load import LoadResult, load
+from sluiceway.operators.load import LoadResult, load_item
 from sluiceway.operators.relational import grouped, ordered, union_distinct
 from sluiceway.sources.queries import from_item
 
 _REQUIRED = ("select_columns", "table_name")
 _TEXTS = ("table_name", "where_conditions", "having")
 _LISTS = ("select_columns", "group_by", "order_by")
+_QUERY_KEYS = {*_REQUIRED, *_TEXTS, *_LISTS, "join_conditions"}
+# Keys that tell what becomes of the result; load_file is a note for others and is not read.
+_LOAD_KEYS = {"staging_table_name", "load_table", "load_type", "load_file", "format", "options"}
+_JOIN_KEYS = {"join_type", "join_table", "join_condition", "hot_keys"}
 _DISTINCT = re.compile(r"\s*distinct\s+", re.IGNORECASE)
 
 
@@ -40,7 +46,9 @@ def _faults(spec: Any, at: str, nested: bool = False) -> list[str]:
     if not isinstance(spec, Mapping):
         return [f"{at or 'the spec'} must be a mapping"]
     at = f"{at}." if at else ""
-    found = [f"{at}{key} is required" for key in _REQUIRED if key not in spec]
+    known = _QUERY_KEYS if nested else _QUERY_KEYS | _LOAD_KEYS | {"unions"}
+    found = [f"{at}{key} is not a known key here" for key in spec if key not in known]
+    found += [f"{at}{key} is required" for key in _REQUIRED if key not in spec]
     found += [f"{at}{key} must be a non-empty string" for key in _TEXTS if key in spec and not _is_text(spec[key])]
     for key in _LISTS:
         if key in spec and not (isinstance(spec[key], list) and spec[key] and all(map(_is_text, spec[key]))):
@@ -60,13 +68,16 @@ def _faults(spec: Any, at: str, nested: bool = False) -> list[str]:
 def _join_faults(item: Any, at: str) -> list[str]:
     if not isinstance(item, Mapping):
         return [f"{at} must be a mapping"]
+    unknown = [f"{at}.{key} is not a known key here" for key in item if key not in _JOIN_KEYS]
     found = [f"{at}.{key} must be a non-empty string" for key in ("join_type", "join_table") if not _is_text(item.get(key))]
+    condition = item.get("join_condition")
+    listed = isinstance(condition, list) and bool(condition) and all(map(_is_text, condition))
     if not found and join_name(item["join_type"]) == "cross":
         if "join_condition" in item:
             found.append(f"{at} is a cross join and takes no join_condition")
-    elif not _is_text(item.get("join_condition")):
+    elif not listed and not _is_text(condition):
         found.append(f"{at}.join_condition must be a non-empty string")
-    return found
+    return unknown + found
 
 
 def check_spec(spec: Any) -> None:
@@ -116,11 +127,12 @@ def stage_from_spec(spark: SparkSession, spec: Mapping[str, Any], **load_options
     """Evaluate a spec and load the result as its load keys say.
 
     ``load_table`` turns the load on, ``staging_table_name`` names the target, ``load_type`` is
-    ``append`` unless given. Without ``load_table`` the spec is only checked and analysed.
+    ``append`` unless given. With ``format`` the target is a connector's, told by ``options``; the name goes
+    along as its ``table``. Without ``load_table`` the spec is only checked and analysed.
     """
     rows = query_from_spec(spark, spec)
     if not spec.get("load_table", False):
         return None
     if not _is_text(spec.get("staging_table_name")):
         raise SpecError("staging_table_name must be a non-empty string when load_table is set")
-    return load(rows, spec["staging_table_name"], spec.get("load_type", "append"), **load_options)
+    return load_item(rows, spec["staging_table_name"], spec, **load_options)

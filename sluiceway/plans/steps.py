@@ -13,18 +13,20 @@ from typing import Any
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-from sluiceway.operators.checks import CheckFailed
-from sluiceway.operators.load import LoadResult, load
+from sluiceway.operators.checks import CheckFailed, require_outputs
+from sluiceway.operators.load import LoadResult, load_item
+from sluiceway.sources.queries import read_query
 from sluiceway.sources.sectioned import load_bundle
-from sluiceway.workspace import new_work_table
+from sluiceway.workspace import drop_work_table, new_work_table, work_scope
 
 
 def run_step(spark: SparkSession, step: Mapping[str, Any], params: Mapping[str, Any] | None = None) -> DataFrame:
     """Evaluate ``step["query"]`` and register it as the view ``step["name"]``.
 
     With ``dynamic_variable_flag`` the query's ``:name`` markers are bound from ``params``; a table name
-    goes in as ``IDENTIFIER(:name)``. With ``table`` the result is written to that table, or with
-    ``table: True`` to a work table, and the view reads it from there.
+    goes in as ``IDENTIFIER(:name)``. With ``format`` and ``options`` a connector runs the query. With
+    ``table`` the result is written to that table, or with ``table: True`` to a work table, and the view
+    reads it from there.
     """
     name, query = step["name"], step["query"]
     args = None
@@ -33,7 +35,7 @@ def run_step(spark: SparkSession, step: Mapping[str, Any], params: Mapping[str,
             raise ValueError(f"step '{name}' needs params")
         args = dict(params)
     try:
-        df = spark.sql(query, args=args)
+        df = read_query(spark, query, step.get("format"), args, **step.get("options") or {})
     except AnalysisException as error:
         if args is not None and error.getCondition() == "UNBOUND_SQL_PARAMETER":
             missing = error.getMessageParameters()["name"]
@@ -75,10 +77,16 @@ def run_steps(
 
 @dataclass(frozen=True)
 class JobResult:
-    """The views of a job by name, and what its loads did."""
+    """The views of a job by name, what its loads did, and the work tables that the views read."""
 
     views: dict[str, DataFrame]
     loads: list[LoadResult] = field(default_factory=list)
+    work_tables: list[str] = field(default_factory=list)
+
+    def release(self, spark: SparkSession) -> None:
+        """Drop the work tables; views that read them can't be used any more."""
+        while self.work_tables:
+            drop_work_table(spark, self.work_tables.pop())
 
 
 def run_job(
@@ -90,22 +98,41 @@ def run_job(
 ) -> JobResult:
     """Run ``extract``, ``transform`` and ``load`` of a config, in this order.
 
+    A phase that is absent is skipped; one that is there but empty is an error. The config's own
+    ``dynamic_params`` (extract) and ``params`` (transform) come on top of ``params``. ``outputs`` names views
+    that must have rows before anything is loaded.
+
     ``inputs`` are sectioned texts to register first, with ``types`` for their columns. Each load item
-    names a ``dataframe_name``, a ``table_name`` and optionally a ``load_type``, ``conditions`` and
-    ``sized``; a load of an empty DataFrame, or of one that breaks a condition, fails and changes nothing.
+    names a ``dataframe_name``, a ``table_name`` and optionally a ``load_type``, ``conditions``, ``sized``,
+    and ``format`` with ``options`` of a connector; a load of an empty DataFrame, or of one that breaks a
+    condition, fails and changes nothing. Work tables go if the job fails; otherwise the result owns them.
     """
-    views = load_bundle(spark, inputs, types) if inputs else {}
-    views |= run_steps(spark, config.get("extract", ()), params, validated=True)
-    views |= run_steps(spark, config.get("transform", ()), params)
-    loads = [
-        load(
-            spark.table(item["dataframe_name"]),
-            item["table_name"],
-            item.get("load_type", "append"),
-            conditions=item.get("conditions"),
-            nonempty=True,
-            sized=item.get("sized", False),
-        )
-        for item in config.get("load", ())
-    ]
-    return JobResult(views, loads)
+    if not {"extract", "transform", "load"} & set(config):
+        raise ValueError("a job needs extract, transform or load")
+
+    def given(key: str) -> dict[str, Any] | None:
+        both = {**(params or {}), **(config.get(key) or {})}
+        return both if params is not None or key in config else None
+
+    with work_scope(spark) as tables:
+        views = load_bundle(spark, inputs, types) if inputs else {}
+        if "extract" in config:
+            views |= run_steps(spark, config["extract"], given("dynamic_params"), validated=True)
+        if "transform" in config:
+            views |= run_steps(spark, config["transform"], given("params"))
+        if "outputs" in config:
+            require_outputs(spark, config["outputs"])
+        loads = [
+            load_item(
+                spark.table(item["dataframe_name"]),
+                item["table_name"],
+                item,
+                conditions=item.get("conditions"),
+                nonempty=True,
+                sized=item.get("sized", False),
+            )
+            for item in config.get("load", ())
+        ]
+        result = JobResult(views, loads, list(tables))
+        tables.clear()
+    return result

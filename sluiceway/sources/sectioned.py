@@ -102,9 +102,10 @@ def _sections(lines: DataFrame) -> DataFrame:
     has_header = F.col("header").isNotNull() & ~F.col("header").eqNullSafe(F.col("end"))
     return (
         markers.filter((F.col("section") != "") & has_header)
-        .groupBy("section")
-        .agg(F.max(F.struct("start", "header", "end")).alias("s"))
-        .select("section", "s.header", "s.end")
+        # Views ignore case, so names that differ in it alone are one table, and the last one in the text wins.
+        .groupBy(F.lower("section"))
+        .agg(F.max(F.struct("start", "header", "end", "section")).alias("s"))
+        .select("s.section", "s.header", "s.end")
     )
 
 
@@ -132,7 +133,8 @@ def _table(lines: DataFrame, name: str, columns: list[str], section) -> DataFram
 def read_sections(spark: SparkSession, *paths: str) -> dict[str, DataFrame]:
     """Read sectioned texts into one all-string DataFrame per table name.
 
-    A name that occurs again replaces the earlier table; a section without a header line gives none.
+    A name that occurs again, in whatever case, replaces the earlier table; a section without a header line
+    gives none.
     """
     if not paths:
         return {}
@@ -162,10 +164,11 @@ def load_bundle(
     read. ``types`` maps a table to ``{column: type}`` for :func:`conform`; other columns stay strings.
     """
     tables = read_sections(spark, *paths.values())
-    unknown = sorted(set(types or {}) - set(tables))
+    types = {name.lower(): columns for name, columns in (types or {}).items()}
+    unknown = sorted(set(types) - {name.lower() for name in tables})
     if unknown:
         raise ValueError(f"types given for tables that were not read: {', '.join(unknown)}")
     for name, table in tables.items():
-        tables[name] = conform(table, (types or {}).get(name, {}))
+        tables[name] = conform(table, types.get(name.lower(), {}))
         tables[name].createOrReplaceTempView(name)
     return tables

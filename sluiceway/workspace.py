@@ -9,23 +9,38 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_own_folders: dict[str, str] = {}
+
+
 def work_folder(spark: SparkSession) -> str:
     """The shared folder for work tables: ``spark.checkpoint.dir``, or the context's checkpoint folder.
 
-    A local session that has neither gets a temporary folder. On a cluster that is an error, because a
-    folder on one machine is not visible to the others.
+    A session on one machine that has neither gets a temporary folder. On a cluster that is an error, because
+    a folder on one machine is not visible to the others. A ``file:`` folder is taken to be a mounted share.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="sluiceway-"))
-    return spark.sparkContext.getCheckpointDir()
+    return _own_folders.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="sluiceway-"))
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` computed once and written to the checkpoint folder; its columns stay addressable as before.
+
+    Where the context has no checkpoint folder yet, it gets one within the work folder.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(f"{work_folder(df.sparkSession).rstrip('/')}/checkpoints")
+    return df.checkpoint()
 
 
 def work_database(spark: SparkSession) -> str:
@@ -33,7 +48,7 @@ def work_database(spark: SparkSession) -> str:
     app = re.sub(r"\W", "_", spark.sparkContext.applicationId).lower()
     database = f"sluiceway_{app}"
     if not spark.catalog.databaseExists(database):
-        location = f"{work_folder(spark).rstrip('/')}/{database}"
+        location = f"{work_folder(spark).rstrip('/')}/{database}".replace("\\", "\\\\").replace("'", "\\'")
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location}'")
     return database
 
@@ -43,10 +58,29 @@ def new_work_path(spark: SparkSession, label: str) -> str:
     return f"{work_folder(spark).rstrip('/')}/{work_database(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+_open_scopes: list[list[str]] = []
+
+
+@contextmanager
+def work_scope(spark: SparkSession) -> Iterator[list[str]]:
+    """Work tables that are made inside the block are dropped at its end; so use their results within it."""
+    tables: list[str] = []
+    _open_scopes.append(tables)
+    try:
+        yield tables
+    finally:
+        _open_scopes.remove(tables)
+        for table in tables:
+            drop_work_table(spark, table)
+
+
 def new_work_table(spark: SparkSession, label: str) -> str:
-    """A name for a work table that no other call gets."""
+    """A name for a work table that no other call gets; the innermost :func:`work_scope` owns it."""
     label = re.sub(r"\W", "_", label).lower()
-    return f"{work_database(spark)}.{label}_{uuid.uuid4().hex}"
+    table = f"{work_database(spark)}.{label}_{uuid.uuid4().hex}"
+    if _open_scopes:
+        _open_scopes[-1].append(table)
+    return table
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

@@ -44,6 +44,17 @@ def test_time_of_day(spark):
     assert len(row.now) == 8
 
 
+def test_time_of_day_of_dates_and_texts(spark):
+    df = spark.sql("SELECT DATE '2024-01-01' AS d, '2024-01-01T12:30:00' AS t, '2024-01-01 01:02:03.5' AS f")
+    assert tuple(df.select(*[time_of_day(c) for c in "dtf"]).first()) == ("00:00:00", "12:30:00", "01:02:03")
+    with pytest.raises(PySparkException):
+        spark.sql("SELECT 'garbage text' AS g").select(time_of_day("g")).collect()
+
+
+def test_conform_takes_names_with_dots(spark):
+    assert conform(spark.createDataFrame([("1",)], ["a.b"]), {"a.b": "INT64"}).first()[0] == 1
+
+
 def test_time_of_day_without_zone_ignores_the_session_zone(spark):
     df = spark.sql("SELECT TIMESTAMP_NTZ '2024-03-31 02:30:00' AS t")
     spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")

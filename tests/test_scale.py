@@ -83,12 +83,30 @@ def test_inner_join_with_a_hot_key_is_split(spark, hot):
 
 def test_semi_join_collapses_the_hot_side_before_the_shuffle(spark, hot):
     with settings(spark, HOT):
-        semi = join(*hot, "LEFT SEMI", "a.k = b.k")
+        semi = join(*hot, "LEFT SEMI", ["a.k = b.k", "b.v <> 0", "concat('x', b.v) <> 'a AND b'"], hot_keys=True)
         below_join = executed(semi).split("Initial Plan")[0].split("SortMergeJoin")[1]
         assert below_join.count("HashAggregate(keys=[k#") == 2
         assert semi.count() == 400
 
 
+def test_filters_pass_an_ordered_view(spark):
+    from sluiceway.plans import query_from_spec
+
+    spark.read.parquet(f"{SF_DIR}/customer.parquet").createOrReplaceTempView("scale_customer")
+    spec = {"select_columns": ["c_custkey", "c_nationkey"], "table_name": "scale_customer", "order_by": ["c_custkey"]}
+    query_from_spec(spark, spec).createOrReplaceTempView("scale_ordered")
+    plan = spark.sql("SELECT * FROM scale_ordered WHERE c_nationkey = 3")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(c_nationkey,3)" in plan
+
+
+def test_a_long_run_of_ties_spreads(spark):
+    from sluiceway.operators import ordered
+
+    with settings(spark, {"spark.sql.adaptive.enabled": "false"}):
+        sizes = ordered(spark.range(0, 40000, numPartitions=8).selectExpr("0 AS same", "id"), ["same"]).select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    assert len(sizes) >= 6
+
+
 @pytest.mark.parametrize("kind", ["LEFT SEMI", "LEFT ANTI"])
 def test_semi_and_anti_joins_with_a_hot_key_on_the_left_are_split(spark, hot, kind):
     keys, rows = hot

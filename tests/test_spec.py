@@ -67,8 +67,23 @@ def test_faults_of_the_root():
         check_spec({})
 
 
-def test_other_keys_are_not_read(spark):
-    assert len(run(spark, **BASE, owner="someone", load_file=True)) == 5
+def test_unknown_keys_and_nested_unions_are_errors(spark):
+    assert len(run(spark, **BASE, load_file=True)) == 5
+    for spec, message in (
+        ({**BASE, "where_condition": "p.id > 1"}, "where_condition is not a known key"),
+        ({**BASE, "unions": [{**BASE, "unions": [BASE]}]}, r"unions\[0\].unions is not a known key"),
+        ({**BASE, "unions": [{**BASE, "load_type": "append"}]}, r"unions\[0\].load_type is not a known key"),
+        ({**BASE, "join_conditions": [{**JOIN, "on": "x"}]}, r"join_conditions\[0\].on is not a known key"),
+    ):
+        with pytest.raises(SpecError, match=message):
+            query_from_spec(spark, spec)
+
+
+def test_outputs_may_have_any_name(spark):
+    df = grouped(from_item(spark, "people"), ["area AS __k0", "COUNT(*) AS __h", "MAX(id) AS __s0"], ["area"], "MIN(age) > 1", ["MIN(age)"])
+    assert df.columns == ["__k0", "__h", "__s0"] and df.count() > 0
+    spec = {"select_columns": ["area", "COUNT(*) AS __h"], "table_name": "people", "group_by": ["area"], "having": "MAX(age) > 0"}
+    assert query_from_spec(spark, spec).columns == ["area", "__h"]
 
 
 def test_select_repeats_and_computes(spark):
@@ -306,3 +321,14 @@ def test_stage_from_spec(spark):
     assert (result.rows_removed, result.rows_loaded) == (10, 5)
     assert spark.table("spec_staged").columns == ["id", "load_ts"]
     spark.sql("DROP TABLE spec_staged")
+
+
+def test_stage_from_spec_through_a_connector(spark, tmp_path):
+    target = {"format": "parquet", "options": {"path": str(tmp_path / "out")}}
+    spec = {**BASE, "load_table": True, "staging_table_name": "files", **target}
+    assert stage_from_spec(spark, spec).rows_removed == 0
+    result = stage_from_spec(spark, {**spec, "load_type": "overwrite"})
+    assert (result.rows_removed, result.rows_loaded) == (None, 5)
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 5
+    with pytest.raises(ValueError, match="options need a connector format"):
+        stage_from_spec(spark, {**BASE, "load_table": True, "staging_table_name": "files", "options": {"path": "x"}})
