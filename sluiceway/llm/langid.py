@@ -32,29 +32,29 @@ def _letters(data: np.ndarray) -> np.ndarray:
     return out
 
 
-def _counts(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def _counts(texts: pa.Array, grams: tuple[int, ...] = GRAMS, dimensions: int = DIMENSIONS) -> tuple[np.ndarray, np.ndarray]:
     """n-gram counts of each text, and whether it has a letter."""
     data, offsets = text_bytes(texts)
     data = _letters(data)
     n = len(offsets) - 1
     text = np.repeat(np.arange(n), np.diff(offsets))
-    out = np.zeros(n * DIMENSIONS)
+    out = np.zeros(n * dimensions)
     code = np.zeros(len(data), np.uint64)
-    for k in range(max(GRAMS)):
+    for k in range(max(grams)):
         if k:
             code = code[: len(data) - k]
         code = code * np.uint64(256) + data[k:]
-        if k + 1 not in GRAMS or not len(code):
+        if k + 1 not in grams or not len(code):
             continue
         inside = text[: len(code)] == text[k:]
         inside &= code != np.uint64(int("20" * (k + 1), 16))
-        slot = ((code + np.uint64((k + 1) << 40)) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - DIMENSIONS.bit_length() + 1)
-        out += np.bincount(text[: len(code)][inside] * DIMENSIONS + slot[inside].astype(np.int64), minlength=len(out))
+        slot = ((code + np.uint64((k + 1) << 40)) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - dimensions.bit_length() + 1)
+        out += np.bincount(text[: len(code)][inside] * dimensions + slot[inside].astype(np.int64), minlength=len(out))
     plain = np.zeros(n, bool)
     plain[text[(data >= 97) & (data < 123)]] = True
     for i in np.flatnonzero(~plain):
         plain[i] = any(c.isalpha() for c in texts[i].as_py() or "")
-    return out.reshape(n, DIMENSIONS), plain
+    return out.reshape(n, dimensions), plain
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
