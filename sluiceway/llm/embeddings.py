@@ -13,8 +13,8 @@ from .components import connected_components
 from .shared import saved
 
 THRESHOLD = 0.95
-#: Vectors of a tile, about, and of a block, at most. Tasks compare blocks of two tiles.
-TILE, BLOCK = 1024, 1024
+#: Vectors of a tile, and of a block, about. Tasks compare blocks of two tiles, so many rows at a time.
+TILE, BLOCK, ROWS = 4096, 4096, 512
 #: Leading components that are added up at each step before the bound is tested.
 STEPS = (8, 16, 32)
 #: Rounding of the rotated, shortened products; the bound gives way by so much.
@@ -123,7 +123,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     count = usual.count()
     first = sum((F.element_at("unit", k + 1) * float(x) for k, x in enumerate(axes[:, 0])), F.lit(0.0))
     placed = usual.select("node", "copies", "v", "unit", first.alias("first"))
-    # One border for each tile: what the driver holds is about a thousandth of the number of vectors.
+    # One border for each tile: what the driver holds is one number for every TILE vectors.
     parts = max(1, count // tile)
     borders = sorted(set(placed.approxQuantile("first", [k / parts for k in range(1, parts)], 0.2 / parts))) if parts > 1 else []
     reach = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + _MARGIN
@@ -173,7 +173,9 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
             for k in range(batch.num_rows):
                 ids_a, copies_a, exact_a, turned_a = unpacked(batch.column("a")[k].values)
                 ids_b, copies_b, exact_b, turned_b = unpacked(batch.column("b")[k].values)
-                i, j = _near(turned_a, turned_b, exact_a, exact_b, threshold)
+                found = [_near(turned_a[at : at + ROWS], turned_b, exact_a[at : at + ROWS], exact_b, threshold) for at in range(0, len(turned_a), ROWS)]
+                i = np.concatenate([x + n * ROWS for n, (x, _) in enumerate(found)])
+                j = np.concatenate([y for _, y in found])
                 if batch.column("same")[k].as_py():
                     i, j = i[i < j], j[i < j]
                 ids = pa.concat_arrays([ids_a, ids_b])
