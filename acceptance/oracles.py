@@ -77,6 +77,10 @@ ORACLES = {
         SELECT l_returnflag, MIN(l_quantity) AS min_qty, MAX(l_quantity) AS max_qty,
                CAST(CAST(AVG(l_quantity) AS DECIMAL(18,4)) AS DOUBLE) AS avg_qty, COUNT(*) AS items
         FROM lineitem GROUP BY l_returnflag""",
+    "group_names": """
+        SELECT l_suppkey AS __k0, COUNT(*) AS __h, CAST(SUM(l_quantity) AS BIGINT) AS __s0
+        FROM lineitem GROUP BY l_suppkey HAVING MIN(l_quantity) < 3""",
+    "job_connector": PRODUCT_SALES,
     "global_count": "SELECT COUNT(*) AS items FROM lineitem",
     "left_join": LEFT_JOIN,
     "right_join": LEFT_JOIN,

@@ -243,6 +243,15 @@ TOP_LINES_ORDERED = {
     "order_by": ["MAX(l_quantity) DESC", "sum_qty DESC", "l_suppkey"],
 }
 
+# Outputs may have any name, also such as the library could use inside.
+GROUP_NAMES = {
+    "select_columns": ["l_suppkey AS __k0", "COUNT(*) AS __h", "CAST(SUM(l_quantity) AS BIGINT) AS __s0"],
+    "table_name": "lineitem",
+    "group_by": ["l_suppkey"],
+    "having": "MIN(l_quantity) < 3",
+    "order_by": ["MAX(l_quantity) DESC", "l_suppkey"],
+}
+
 # Query name -> (spec, tables it reads).
 SPECS = {
     "customer_orders": (CUSTOMER_ORDERS, ("customer", "nation", "region", "orders")),
@@ -268,6 +277,7 @@ SPECS = {
     "union_grouped": (UNION_GROUPED, ("customer", "orders")),
     "order_by_multi": (ORDER_BY_MULTI, ("customer",)),
     "order_by_aggregate": (TOP_LINES_ORDERED, ("lineitem",)),
+    "group_names": (GROUP_NAMES, ("lineitem",)),
     "spec_query": ({**REGIONAL_SALES, "order_by": ["total_sales DESC"]}, STAR_TABLES),
 }
 

@@ -18,7 +18,7 @@ from sluiceway.operators import (
 )
 from sluiceway.plans import run_job, run_step, run_steps, stage_from_spec
 from sluiceway.sources import from_item, load_bundle, read_sections
-from sluiceway.workspace import materialise, new_work_table
+from sluiceway.workspace import materialise, new_work_path, new_work_table
 
 CUSTOMER_ORDERS = {
     "name": "customer_orders",
@@ -33,7 +33,7 @@ CUSTOMER_ORDERS = {
 ENRICHED_ORDERS = {
     "name": "enriched_orders",
     "query": """
-        SELECT co.*, l.l_partkey, p.p_name, p.p_type AS category, l.l_quantity,
+        SELECT co.region, co.c_custkey, co.o_orderkey, co.o_totalprice, p.p_type AS category, l.l_quantity,
                CAST(l.l_quantity * p.p_retailprice AS DECIMAL(18,2)) AS total_price
         FROM lineitem l
         JOIN customer_orders co ON l.l_orderkey = co.o_orderkey
@@ -124,6 +124,27 @@ def job_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(target).drop("load_ts")
 
 
+def job_connector(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A job of which only one phase transforms, and whose target is a connector's; its files are read back."""
+    register(spark, sf_dir, *STAR_TABLES)
+    path = new_work_path(spark, "product_sales")
+    config = {
+        "transform": [CUSTOMER_ORDERS, ENRICHED_ORDERS, PRODUCT_SALES],
+        "outputs": ["product_sales"],
+        "load": [
+            {
+                "table_name": "product_sales",
+                "dataframe_name": "product_sales",
+                "load_type": "overwrite",
+                "format": "parquet",
+                "options": {"path": path},
+            }
+        ],
+    }
+    run_job(spark, config)
+    return spark.read.parquet(path).drop("load_ts")
+
+
 def spec_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A spec evaluated and loaded twice with ``truncate``; the second load replaces the first."""
     register(spark, sf_dir, *STAR_TABLES)
@@ -261,6 +282,7 @@ QUERIES = {
     "step_params": step_params,
     "step_materialised": step_materialised,
     "job_load": job_load,
+    "job_connector": job_connector,
     "spec_load": spec_load,
     "sectioned_read": sectioned_read,
     "sectioned_bundle": sectioned_bundle,

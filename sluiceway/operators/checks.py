@@ -27,6 +27,8 @@ def check_nonempty(df: DataFrame, name: str) -> DataFrame:
 
 def check_outputs(spark: SparkSession, names: Sequence[str]) -> DataFrame:
     """:func:`check_nonempty` for each of the named views or tables."""
+    if not names:
+        raise ValueError("no outputs to check")
     return reduce(DataFrame.union, [check_nonempty(spark.table(name), name) for name in names])
 
 
@@ -52,8 +54,6 @@ def require_nonempty(df: DataFrame, name: str) -> None:
 
 def require_outputs(spark: SparkSession, names: Sequence[str]) -> dict[str, int]:
     """Row counts of the named views or tables; raise if one of them is empty."""
-    if not names:
-        raise ValueError("no outputs to check")
     counts = {row.view_name: row.row_count for row in check_outputs(spark, names).collect()}
     empty = [name for name in names if counts[name] == 0]
     if empty:
