@@ -29,7 +29,10 @@ def work_folder(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    return _own_folders.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="sluiceway-"))
+    app = spark.sparkContext.applicationId
+    if app not in _own_folders:
+        _own_folders[app] = tempfile.mkdtemp(prefix="sluiceway-")
+    return _own_folders[app]
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
