@@ -15,7 +15,7 @@ VIRTUAL_NODES = 64
 #: Arcs of equal length that the ring is cut into. Keys of an arc stay together.
 ARCS = 1 << 16
 #: A shard takes (1 + SLACK) times the mean load.
-SLACK = 0.001
+SLACK = 0.0002
 
 
 def ring_points(spark, shards: int, virtual_nodes: int = VIRTUAL_NODES, arcs: int = ARCS) -> list[tuple[int, int]]:
