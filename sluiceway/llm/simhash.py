@@ -115,12 +115,13 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return rows.join(classes, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", groups=simhash_groups) -> DataFrame:
     """The rows of ``docs`` with the smallest id of their near-duplicate group, with the columns of ``docs``.
 
+    ``groups`` is the function that finds the groups, (doc_id, component_id, ...) of each row.
+
     Rows without an id are kept only where their group has no id at all; of rows that repeat one id in a
     group all stay, for want of anything to tell them apart.
     """
-    groups = simhash_groups(docs, id_col, text_col)
-    kept = groups.where("doc_id <=> component_id").select(F.col("doc_id").alias("__kept_id")).distinct()
+    kept = groups(docs, id_col, text_col).where("doc_id <=> component_id").select(F.col("doc_id").alias("__kept_id")).distinct()
     return docs.join(kept, docs[id_col].eqNullSafe(kept["__kept_id"]), "left_semi")
