@@ -12,12 +12,15 @@ from .lm import score_texts
 from .oracles import ORACLES as ORACLES
 from .packing import pack
 from .quality import fit_quality, score_quality
+from .sentencepieces import decode_texts, encode_texts
 from .shared import table
 from sluiceway.workspace import new_work_path
 from .sharding import shard_by_bytes
 from .simhash import simhash_groups
 from .substrings import remove_repeats
+from .variants import spelling_variants
 from .warc import read_warc, write_warc
+from .whitening import whiten
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,6 +73,23 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(table(spark, sf_dir, "documents"))
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    rows = decode_texts(encode_texts(table(spark, sf_dir, "documents"), model), model)
+    written = F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256")
+    return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), written, F.sha2("text", 256).alias("decoded_sha256"))
+
+
+def op12_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"), slips=199)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_simhash": op2_simhash,
@@ -81,4 +101,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_embeddings": op9_embeddings,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_sentencepiece": op11_sentencepiece,
+    "op12_variants": op12_variants,
+    "op13_whitening": op13_whitening,
 }

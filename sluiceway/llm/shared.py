@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
+import types
+from collections.abc import Callable, Hashable, Iterator
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -48,3 +51,12 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, size: int = SLICE_BYTES
 def remainder(id_column: Column, modulus: int) -> Column:
     """crc32 of the id's decimal text, modulo ``modulus``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(id_column.cast("string"), F.lit("")).cast("binary")) % modulus
+
+
+def kept(key: Hashable, make: Callable[[], Any]) -> Any:
+    """What ``make`` gives, once for each Python worker: tasks are unpickled anew, so it is kept in a module of its own."""
+    name = "_sluiceway_kept"
+    values = vars(sys.modules.setdefault(name, types.ModuleType(name))).setdefault("values", {})
+    if key not in values:
+        values[key] = make()
+    return values[key]

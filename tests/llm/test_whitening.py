@@ -1,0 +1,94 @@
+"""Whitened vectors against the eigenvectors of the covariance, worked out in whole numbers where possible."""
+
+from fractions import Fraction
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from sluiceway.llm import queries
+from sluiceway.llm.whitening import whiten
+
+SCHEMA = "vec_id long, embedding array<float>"
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def check(got, rows, components=4, scale=256):
+    usable = [(i, v) for i, v in rows if v is not None and all(c is not None and np.isfinite(c) for c in v)]
+    d = max((len(v) for _, v in usable), default=0)
+    xs = [(i, [int(np.floor(scale * float(np.float32(c)))) for c in v] + [0] * (d - len(v))) for i, v in usable]
+    fit = sorted({tuple(x) for _, x in xs})
+    n = len(fit)
+    if n < 2:
+        assert got == []
+        return
+    sums = [sum(column) for column in zip(*fit)]
+    f = np.array(fit, dtype=object) * n - np.array(sums, dtype=object)
+    covariance = (f.T @ f).astype(float) / n**3
+    values, axes = np.linalg.eigh(covariance)
+    order = np.argsort(-values)
+    values, axes = values[order], axes[:, order]
+    k = min(components, int((values > 1e-12 * values[0]).sum()))
+    assert len(got) == k * len(usable)
+    rank = {}
+    for r in got:
+        rank.setdefault(r.component, []).append(r)
+    assert sorted(rank) == list(range(1, k + 1))
+    deviation = sorted((repr(i), sum((n * c - s) ** 2 for c, s in zip(x, sums))) for i, x in xs)
+    for c, found in rank.items():
+        assert sorted((repr(r.vec_id), r.deviation) for r in found) == deviation
+        assert {r.n for r in found} == {n} and len({r.identity_error for r in found}) == 1
+        assert abs(found[0].explained / float(values[c - 1] / np.trace(covariance)) - 1) < 1e-9
+        assert found[0].identity_error < 1e-9
+        expected = sorted((repr(i), tuple(x)) for i, x in xs)
+        mean = np.array([float(Fraction(s, n)) for s in sums])
+        gap = min([abs(values[c - 1] - v) for j, v in enumerate(values) if j != c - 1], default=1)
+        if gap > 1e-6 * values[0] and len({i for i, _ in expected}) == len(expected):
+            y = np.array([(np.array(x, float) - mean) @ axes[:, c - 1] for _, x in expected]) / np.sqrt(values[c - 1])
+            z = np.array([r.whitened for r in sorted(found, key=lambda r: repr(r.vec_id))])
+            assert min(np.abs(y - z).max(), np.abs(y + z).max()) < 1e-8
+
+
+def vectors(n=300, d=8):
+    rng = np.random.default_rng(8)
+    spread = rng.normal(size=(n, d)) * np.linspace(3, 0.2, d) @ np.linalg.qr(rng.normal(size=(d, d)))[0]
+    rows = [(i, x.tolist()) for i, x in enumerate(spread)]
+    return rows + [(1000 + i, rows[0][1]) for i in range(40)]
+
+
+def test_hard_vectors_with_clashing_columns(spark):
+    rows = vectors() + [(2000, None), (2001, [None] + [1.0] * 7), (2002, [float("nan")] * 8), (2003, [float("inf")] + [0.0] * 7), (2004, [1.0, 2.0]), (2005, []), (2006, [0.0] * 8), (None, [0.5] * 8)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3).select("*", *[F.lit("own").alias(c) for c in ("id", "x", "v", "component", "block", "n", "sums", "part")])
+    check(whiten(df).collect(), rows)
+
+
+def test_repeated_ids(spark):
+    rows = vectors(50) + [(3, [9.0] * 8), (3, [9.0] * 8)]
+    check(whiten(spark.createDataFrame(rows, SCHEMA)).collect(), rows)
+
+
+def test_few_directions_and_equal_eigenvalues(spark):
+    flat = [(i, [float(i % 7), float(i % 7) * 2, 1.0, -3.0, 0.0]) for i in range(40)]
+    check(whiten(spark.createDataFrame(flat, SCHEMA)).collect(), flat)
+    corners = [(i, [1.0 if k == i else 0.0 for k in range(6)]) for i in range(6)]
+    check(whiten(spark.createDataFrame(corners, SCHEMA)).collect(), corners)
+    wide = [(i, np.random.default_rng(i).normal(size=30).tolist()) for i in range(5)]
+    check(whiten(spark.createDataFrame(wide, SCHEMA)).collect(), wide)
+
+
+@pytest.mark.parametrize("rows", [[], [(1, None)], [(1, [1.0, 2.0])], [(1, [1.0, 2.0])] * 3, [(1, []), (2, [])]])
+def test_too_few_vectors(spark, rows):
+    assert whiten(spark.createDataFrame(rows, SCHEMA)).collect() == []
+
+
+def test_sums_beyond_a_long(spark):
+    rows = [(i, [3.0e30 if i == 1 else 1.0e15 * i, float(i)]) for i in range(5)]
+    got = whiten(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {r.deviation for r in got} == {None} and len(got) >= 5
+    rows = [(i, [2.0**35 * i, float(i)]) for i in range(5)]
+    got = whiten(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {r.deviation for r in got} == {None, *(r.deviation for r in got)}
+
+
+def test_query_against_eigenvectors(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF_DIR}/embeddings.parquet").select("vec_id", "embedding").collect()]
+    check(queries.QUERIES["op13_whitening"](spark, SF_DIR).collect(), rows)
