@@ -104,6 +104,9 @@ ORACLES = {
         SELECT o.o_orderkey, l.l_linenumber, l.l_partkey, l.l_shipdate
         FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey AND l.l_shipdate < o.o_orderdate
         AND l.l_extendedprice * 10 > o.o_totalprice""",
+    "band_join": """
+        SELECT c_custkey, s_suppkey, c_acctbal, s_acctbal
+        FROM customer JOIN supplier ON c_acctbal >= s_acctbal - 0.5 AND c_acctbal <= s_acctbal + 0.5""",
     "self_join": """
         SELECT a.c_custkey AS custkey, c.c_custkey AS next_custkey, a.c_mktsegment AS segment
         FROM customer a JOIN customer c ON a.c_custkey + 1 = c.c_custkey

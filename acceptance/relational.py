@@ -189,6 +189,18 @@ THETA_JOIN = {
         }
     ],
 }
+# No equality at all: balances within half a unit of each other.
+BAND_JOIN = {
+    "select_columns": ["c.c_custkey", "s.s_suppkey", "c.c_acctbal", "s.s_acctbal"],
+    "table_name": "customer c",
+    "join_conditions": [
+        {
+            "join_type": "INNER",
+            "join_table": "supplier s",
+            "join_condition": ["c.c_acctbal >= s.s_acctbal - 0.5", "c.c_acctbal <= s.s_acctbal + 0.5"],
+        }
+    ],
+}
 SELF_JOIN = {
     "select_columns": ["a.c_custkey AS custkey", "c.c_custkey AS next_custkey", "a.c_mktsegment AS segment"],
     "table_name": "customer a",
@@ -271,6 +283,7 @@ SPECS = {
     "anti_join": (ANTI_JOIN, ("customer", "orders")),
     "cross_join": (CROSS_JOIN, ("supplier", "region")),
     "theta_join": (THETA_JOIN, ("orders", "lineitem")),
+    "band_join": (BAND_JOIN, ("customer", "supplier")),
     "self_join": (SELF_JOIN, ("customer",)),
     "union_distinct": (UNION_DISTINCT, ("customer", "supplier", "nation")),
     "union_ordered": (UNION_ORDERED, ("customer", "supplier", "nation")),

@@ -90,7 +90,7 @@ def grouped(
     ``group_by`` the whole input is one group. As in SQL, a name in HAVING or ORDER BY means the
     selected column before it means one of the input, but inside an aggregate it means the input's.
     """
-    mark = _unused([*df.columns, *select, *group_by, *order_by, having or ""])
+    mark = unused([*df.columns, *select, *group_by, *order_by, having or ""])
     hidden = [f"{mark}k{i}" for i in range(len(group_by))]
     groups = df.groupBy(*[_group_key(df, select, key).alias(name) for key, name in zip(group_by, hidden)])
     outputs = [F.expr(item) for item in select]
@@ -108,7 +108,7 @@ def grouped(
     return result.drop(*hidden)
 
 
-def _unused(texts: Sequence[str]) -> str:
+def unused(texts: Sequence[str]) -> str:
     """A beginning for names that occurs in none of the texts, so no output can have such a name."""
     mark, whole = "__", "\n".join(texts).lower()
     while mark in whole:

@@ -31,6 +31,8 @@ _QUERY_KEYS = {*_REQUIRED, *_TEXTS, *_LISTS, "join_conditions"}
 # Keys that tell what becomes of the result; load_file is a note for others and is not read.
 _LOAD_KEYS = {"staging_table_name", "load_table", "load_type", "load_file", "format", "options"}
 _JOIN_KEYS = {"join_type", "join_table", "join_condition", "hot_keys"}
+_COUNT = re.compile(r"count\s*\(\s*\*\s*\)", re.IGNORECASE)
+_STAR = re.compile(r"(?:^|[.(,])\s*\*")
 _DISTINCT = re.compile(r"\s*distinct\s+", re.IGNORECASE)
 
 
@@ -87,12 +89,36 @@ def check_spec(spec: Any) -> None:
         raise SpecError("; ".join(found))
 
 
+def _texts(value: Any) -> list[str]:
+    if isinstance(value, Mapping):
+        value = [v for key, v in value.items() if key not in ("table_name", "join_table")]
+    return [value] if isinstance(value, str) else [text for v in value for text in _texts(v)] if isinstance(value, list) else []
+
+
+def _needed(df: DataFrame, spec: Mapping[str, Any], order_by: list[str]) -> DataFrame:
+    """Only the columns whose names occur in the spec, for joins that look at whole rows; all of them if it selects a star."""
+    texts = _texts([dict(spec), *order_by])
+    if any(_STAR.search(_COUNT.sub("", text)) for text in texts):
+        return df
+    whole = "\n".join(texts).lower()
+    names = [name for name in df.columns if name.lower() in whole]
+    twice = len({name.lower() for name in df.columns}) < len(df.columns)
+    return df if twice or not names else df.select(*[F.col(f"`{name.replace('`', '``')}`") for name in names])
+
+
 def _branch(spark: SparkSession, spec: Mapping[str, Any], order_by: list[str]) -> DataFrame:
-    rows = from_item(spark, spec["table_name"])
-    for item in spec.get("join_conditions", []):
+    joins = spec.get("join_conditions", [])
+    narrow = any(item.get("hot_keys", False) for item in joins)
+
+    def table(item: str) -> DataFrame:
+        df = from_item(spark, item)
+        return _needed(df, spec, order_by) if narrow else df
+
+    rows = table(spec["table_name"])
+    for item in joins:
         rows = join(
             rows,
-            from_item(spark, item["join_table"]),
+            table(item["join_table"]),
             item["join_type"],
             item.get("join_condition"),
             item.get("hot_keys", False),
