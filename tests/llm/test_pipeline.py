@@ -9,7 +9,7 @@ from corpora import plain_words
 import __spark_entry__ as contract
 from sluiceway.llm import queries
 from test_decontam import brute as leaks
-from test_simhash import brute_groups
+from test_similar import brute as near_groups
 from test_substrings import brute as repeats
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -17,7 +17,7 @@ SF_DIR = "/root/testdata/sf0.001"
 
 def test_every_operator_has_a_query():
     names = {n.split("_")[0] for n in contract.queries()}
-    assert {f"op{n}" for n in range(1, 11)} <= names and "pipeline" in contract.queries()
+    assert {f"op{n}" for n in range(1, 14)} <= names and "pipeline" in contract.queries()
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
@@ -35,7 +35,7 @@ def test_each_stage_against_brute_force(spark):
             docs = spark.createDataFrame(rows, docs.schema)
     quality, near, passages, clean, packed = kept
     assert 0 < len(quality) < len(given) and {tuple(r) for r in quality} <= set(given)
-    assert {r.doc_id for r in near} == {i for i, _, component in brute_groups(quality) if i == component}
+    assert {r.doc_id for r in near} == {i for i, component in near_groups(list(map(tuple, quality))) if i == component}
     expected = repeats(sorted(map(tuple, near)))
     before = {r.doc_id: r for r in near}
     for r in passages:
@@ -60,6 +60,9 @@ def test_columns_of_the_queries(spark, name):
         "op7": ["doc_id", "held_out", "lang_pred", "score"],
         "op8": ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"],
         "op9": ["vec_id", "n_links", "component_id", "kept"],
+        "op11": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+        "op12": ["word", "form", "root", "n", "n_near", "form_n"],
+        "op13": ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"],
         "op10": ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
     }[name.split("_")[0]]
     assert queries.QUERIES[name](spark, SF_DIR).columns[: len(columns)] == columns
