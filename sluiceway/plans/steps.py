@@ -17,7 +17,7 @@ from sluiceway.operators.checks import CheckFailed, require_outputs
 from sluiceway.operators.load import LoadResult, load_item
 from sluiceway.sources.queries import read_query
 from sluiceway.sources.sectioned import load_bundle
-from sluiceway.workspace import drop_work_table, new_work_table, work_scope
+from sluiceway.workspace import drop_work_folder, drop_work_table, new_work_table, work_scope
 
 
 def run_step(spark: SparkSession, step: Mapping[str, Any], params: Mapping[str, Any] | None = None) -> DataFrame:
@@ -77,16 +77,19 @@ def run_steps(
 
 @dataclass(frozen=True)
 class JobResult:
-    """The views of a job by name, what its loads did, and the work tables that the views read."""
+    """The views of a job by name, what its loads did, and the work tables and folders that the views read."""
 
     views: dict[str, DataFrame]
     loads: list[LoadResult] = field(default_factory=list)
     work_tables: list[str] = field(default_factory=list)
+    work_folders: list[str] = field(default_factory=list)
 
     def release(self, spark: SparkSession) -> None:
         """Drop the work tables; views that read them can't be used any more."""
         while self.work_tables:
             drop_work_table(spark, self.work_tables.pop())
+        while self.work_folders:
+            drop_work_folder(spark, self.work_folders.pop())
 
 
 def run_job(
@@ -114,7 +117,7 @@ def run_job(
         both = {**(params or {}), **(config.get(key) or {})}
         return both if params is not None or key in config else None
 
-    with work_scope(spark) as tables:
+    with work_scope(spark) as work:
         views = load_bundle(spark, inputs, types) if inputs else {}
         if "extract" in config:
             views |= run_steps(spark, config["extract"], given("dynamic_params"), validated=True)
@@ -133,6 +136,6 @@ def run_job(
             )
             for item in config.get("load", ())
         ]
-        result = JobResult(views, loads, list(tables))
-        tables.clear()
+        result = JobResult(views, loads, list(work), list(work.folders))
+        work.clear()
     return result

@@ -11,6 +11,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,17 +36,6 @@ def work_folder(spark: SparkSession) -> str:
     return _own_folders[app]
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` computed once and written to the checkpoint folder; its columns stay addressable as before.
-
-    Where the context has no checkpoint folder yet, it gets one within the work folder.
-    """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(f"{work_folder(df.sparkSession).rstrip('/')}/checkpoints")
-    return df.checkpoint()
-
-
 def work_database(spark: SparkSession) -> str:
     """Database of this application's work tables, created on first use."""
     app = re.sub(r"\W", "_", spark.sparkContext.applicationId).lower()
@@ -56,33 +46,55 @@ def work_database(spark: SparkSession) -> str:
     return database
 
 
-def new_work_path(spark: SparkSession, label: str) -> str:
-    """A folder for files that are not a table, next to the work tables and dropped with them."""
-    return f"{work_folder(spark).rstrip('/')}/{work_database(spark)}/{label}-{uuid.uuid4().hex}"
+class Work(list):
+    """The work tables that a scope owns, by name; ``folders`` holds its folders."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.folders: list[str] = []
+
+    def clear(self) -> None:
+        """Leave everything to someone else."""
+        super().clear()
+        self.folders.clear()
 
 
-_open_scopes: list[list[str]] = []
+#: What the innermost scope of the running thread owns.
+_scope: ContextVar[Work | None] = ContextVar("work_scope", default=None)
 
 
 @contextmanager
-def work_scope(spark: SparkSession) -> Iterator[list[str]]:
-    """Work tables that are made inside the block are dropped at its end; so use their results within it."""
-    tables: list[str] = []
-    _open_scopes.append(tables)
+def work_scope(spark: SparkSession) -> Iterator[Work]:
+    """Work tables and folders that are made inside the block go at its end; so use their results within it.
+
+    The scope is that of the running thread: what another thread makes meanwhile is not touched.
+    """
+    work = Work()
+    token = _scope.set(work)
     try:
-        yield tables
+        yield work
     finally:
-        _open_scopes.remove(tables)
-        for table in tables:
+        _scope.reset(token)
+        for table in work:
             drop_work_table(spark, table)
+        for folder in work.folders:
+            drop_work_folder(spark, folder)
+
+
+def new_work_path(spark: SparkSession, label: str) -> str:
+    """A folder for files that are not a table, next to the work tables; the innermost :func:`work_scope` owns it."""
+    path = f"{work_folder(spark).rstrip('/')}/{work_database(spark)}/{label}-{uuid.uuid4().hex}"
+    if (work := _scope.get()) is not None:
+        work.folders.append(path)
+    return path
 
 
 def new_work_table(spark: SparkSession, label: str) -> str:
     """A name for a work table that no other call gets; the innermost :func:`work_scope` owns it."""
     label = re.sub(r"\W", "_", label).lower()
     table = f"{work_database(spark)}.{label}_{uuid.uuid4().hex}"
-    if _open_scopes:
-        _open_scopes[-1].append(table)
+    if (work := _scope.get()) is not None:
+        work.append(table)
     return table
 
 
@@ -98,6 +110,12 @@ def drop_work_table(spark: SparkSession, table: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
+def drop_work_folder(spark: SparkSession, path: str) -> None:
+    """Remove a work folder with all its files, through the file system that it is on."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def drop_work(spark: SparkSession) -> None:
     """Drop every work table and work folder of this application."""
     spark.sql(f"DROP DATABASE IF EXISTS {work_database(spark)} CASCADE")
