@@ -6,10 +6,11 @@ or after an empty ``[]``, belongs to no table. All columns are strings.
 
 A text may be far larger than one task can hold, so no file, section or group of lines is gathered:
 
-1. The lines are written once to a work table together with their place in the text. Place means the
-   file, the split of the file, and the running number inside the split, all known to the scan itself.
+1. The lines of all texts are written once, by one scan, to a work table together with their place. Place means the
+   text, the file, the split of the file, and the running number inside the split, all known to the scan itself.
+   Which text a file belongs to is looked up in a broadcast list of the files.
 2. The ``[name]`` lines are located from the narrow columns of that table. Their neighbours are found
-   per split first and then across splits (one row per split).
+   per split first, then across the splits of a range (one row per split), then across ranges (one row per range).
 3. Each table is a range of places in the work table. Lines were written in order, so Parquet
    statistics let a table's scan skip the other tables' files and row groups. Nothing is shuffled.
 
@@ -20,9 +21,11 @@ the order of numbered part files.
 from __future__ import annotations
 
 import operator
-from collections.abc import Callable, Mapping
+import re
+from collections.abc import Callable, Iterator, Mapping
 from functools import reduce
 from typing import Any
+from urllib.parse import unquote, urlsplit
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -31,28 +34,65 @@ from sluiceway.functions.conform import conform
 from sluiceway.workspace import materialise
 
 _BLANKS = "".join(filter(str.isspace, map(chr, range(0x3001))))
+_SLASHES = re.compile(r"^(\w+):/+")
 # What orders the splits of all texts; with the running number in the split it orders all lines.
 _SPLIT = ["source", "name_size", "file", "block"]
 
 
+def _plain(path: str) -> str:
+    """The path without its scheme and host, decoded, and without a slash at its end."""
+    parts = urlsplit(path)
+    # A local path may hold signs that mean something else in a URI; a file that Spark names is always a URI.
+    return (unquote(parts.path) if parts.scheme else path).rstrip("/") or "/"
+
+
+def _files(texts: DataFrame, paths: list[str]) -> dict[str, int] | None:
+    """The number of the text that each file belongs to; None where paths are patterns, relative, or lie within one another.
+
+    The driver has listed the files for the scan anyway.
+    """
+    numbers = {_plain(path): number for number, path in enumerate(paths)}
+
+    def above(place: str) -> Iterator[str]:
+        while "/" in place.lstrip("/"):
+            place = place.rsplit("/", 1)[0]
+            yield place
+
+    if len(numbers) < len(paths) or any(set("*?[{") & set(p) or numbers.keys() & set(above(p)) for p in numbers):
+        return None
+    found = {}
+    for file in texts.inputFiles():
+        place = _plain(file)
+        folder = next((p for p in (place, *above(place)) if p in numbers), None)
+        if folder is None:
+            return None
+        found[file] = numbers[folder]
+    return found
+
+
+def _numbered(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The lines of all texts with their text's number, file, block and value: one scan, or else one for each path."""
+    place = [F.octet_length("_metadata.file_path").alias("name_size"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")]
+    texts = spark.read.text(paths)
+    found = _files(texts, paths)
+    if found is None:
+        return reduce(DataFrame.union, [spark.read.text(path).select(F.lit(n).alias("source"), *place, "value") for n, path in enumerate(paths)])
+    # Names of the same file may differ in the number of slashes after the scheme.
+    files = spark.createDataFrame([(_SLASHES.sub(r"\1:/", file), n) for file, n in sorted(found.items())], "listed string, source int")
+    listed = F.regexp_replace("file", _SLASHES.pattern, "$1:/")
+    return texts.select(*place, listed.alias("listed"), "value").join(F.broadcast(files), "listed").select(*_SPLIT, "value")
+
+
 def _placed_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    texts = [
-        spark.read.text(path).select(
-            F.lit(number).alias("source"),
-            F.octet_length("_metadata.file_path").alias("name_size"),
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            "value",
-        )
-        for number, path in enumerate(paths)
-    ]
+    # A path that is given again replaces its own earlier tables by the same ones.
+    paths = list(reversed(dict.fromkeys(reversed(paths))))
     line = F.btrim("value", F.lit(_BLANKS))
     # Most lines start with a printable character, which saves stripping them just to see that.
     printable = (F.col("value") >= "!") & (F.col("value") < "\x7f")
     marker = F.col("line").startswith("[") & F.col("line").endswith("]")
     # The id holds the partition and the record number inside it, so it is consecutive within a split.
     return (
-        reduce(DataFrame.union, texts)
+        _numbered(spark, paths)
         .filter(printable | (line != ""))
         .select(*_SPLIT, F.monotonically_increasing_id().alias("pos"), line.alias("line"))
         .select("*", F.when(marker, F.btrim("line", F.lit("[]"))).alias("section"))
@@ -70,17 +110,23 @@ def _sections(lines: DataFrame) -> DataFrame:
         F.max("pos").alias("last_pos"),
         F.min(F.when(F.col("section").isNotNull(), F.col("pos"))).alias("marker_pos"),
     )
-    later = (
-        Window.partitionBy("source")
-        .orderBy(*map(F.desc, _SPLIT[1:]))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
     next_marker = F.when(F.col("marker_pos").isNotNull(), place("marker_pos"))
-    splits = splits.select(
-        *_SPLIT,
-        "last_pos",
-        F.last(place("first_pos")).over(later).alias("later_line"),
-        F.last(next_marker, ignorenulls=True).over(later).alias("later_marker"),
+    splits = splits.select(*_SPLIT, "last_pos", place("first_pos").alias("line"), next_marker.alias("marker"))
+    # Ranges of splits in order, fixed by being written: neighbours within a range, then the first of later ranges.
+    ranges = materialise(splits.repartitionByRange(*_SPLIT).withColumn("part", F.spark_partition_id()), "splits")
+    back = Window.partitionBy("part").orderBy(*map(F.desc, _SPLIT)).rowsBetween(Window.unboundedPreceding, -1)
+    first = ranges.groupBy("part").agg(F.min("line").alias("line"), F.min("marker").alias("marker"))
+    # One row for each range, as many as there are shuffle partitions.
+    beyond = Window.orderBy(F.desc("part")).rowsBetween(Window.unboundedPreceding, -1)
+    first = first.select("part", F.last("line").over(beyond).alias("far_line"), F.last("marker", ignorenulls=True).over(beyond).alias("far_marker"))
+    later_line = F.coalesce(F.last("line").over(back), "far_line")
+    later_marker = F.coalesce(F.last("marker", ignorenulls=True).over(back), "far_marker")
+
+    def same_text(neighbour: Column) -> Column:
+        return F.when(neighbour["source"] == F.col("source"), neighbour)
+
+    splits = ranges.join(F.broadcast(first), "part").select(
+        *_SPLIT, "last_pos", same_text(later_line).alias("later_line"), same_text(later_marker).alias("later_marker")
     )
 
     in_split = Window.partitionBy(*_SPLIT).orderBy("pos")
@@ -96,7 +142,7 @@ def _sections(lines: DataFrame) -> DataFrame:
             F.when(F.col("pos") < F.col("last_pos"), place("line_pos"))
             .otherwise(F.col("later_line"))
             .alias("header"),
-            F.coalesce(next_marker, "later_marker").alias("end"),
+            F.coalesce(F.when(F.col("marker_pos").isNotNull(), place("marker_pos")), "later_marker").alias("end"),
         )
     )
     has_header = F.col("header").isNotNull() & ~F.col("header").eqNullSafe(F.col("end"))
@@ -143,10 +189,10 @@ def read_sections(spark: SparkSession, *paths: str) -> dict[str, DataFrame]:
     sections = _sections(lines).collect()
     if not sections:
         return {}
-    wanted = [F.col("pos") == s.header.pos for s in sections]
-    while len(wanted) > 1:
-        wanted = [reduce(Column.__or__, wanted[i : i + 2]) for i in range(0, len(wanted), 2)]
-    headers = {row.pos: row.line for row in lines.filter(wanted[0]).select("pos", "line").collect()}
+    places = spark.createDataFrame([(s.header.pos,) for s in sections], "pos long")
+    ends = [s.header.pos for s in sections]
+    near = lines.filter(F.col("pos").between(min(ends), max(ends))).select("pos", "line")
+    headers = {row.pos: row.line for row in near.join(F.broadcast(places), "pos").collect()}
     return {
         s.section: _table(lines, s.section, headers[s.header.pos].split(","), s)
         for s in sorted(sections, key=lambda s: s.section)
