@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from .shared import kept, slices
 
 SPACE = "▁"
-#: Distinct segments, and histories of pieces, that a worker remembers; what it forgets it works out again.
-REMEMBERED = 300_000
+#: Distinct segments, and pairs of pieces, that a worker remembers; what comes later is worked out each time.
+SEGMENTS, PAIRS = 700_000, 600_000
 #: Characters whose matches are looked up at a time.
 BLOCK = 4096
 #: Longer segments are not remembered.
@@ -90,9 +90,8 @@ class PieceModel:
             if k < len(ranks):
                 ranks[k] = rank.get(parts[k] + parts[k + 1], math.inf)
         steps.append((math.inf, parts[0], parts[-1]))
-        if len(self._histories) >= REMEMBERED:
-            self._histories.clear()
-        self._histories[piece] = steps
+        if len(self._histories) < PAIRS:
+            self._histories[piece] = steps
         return steps
 
     def fits(self, before: str, piece: str) -> bool:
@@ -122,10 +121,14 @@ class PieceModel:
         """(length, id) of the pieces that start at each position of a block, the longest last."""
         begin = block * BLOCK
         found: list[list[tuple[int, int]]] = [[] for _ in range(min(BLOCK, len(text) - begin))]
-        for end, match in self._matches(text[begin : begin + BLOCK + self.longest - 1]):
-            at = end - match[0] + 1
-            if at < BLOCK:
-                found[at].append(match)
+        if len(text) <= BLOCK:
+            for end, match in self._matches(text):
+                found[end - match[0] + 1].append(match)
+        else:
+            for end, match in self._matches(text[begin : begin + BLOCK + self.longest - 1]):
+                at = end - match[0] + 1
+                if at < BLOCK:
+                    found[at].append(match)
         for at, here in enumerate(found):
             # A character that is no piece is a token by itself, to be spelt in bytes.
             if not here or here[0][0] != 1:
@@ -134,6 +137,9 @@ class PieceModel:
 
     def segment(self, text: str) -> list[int]:
         """Ids of a normalised text."""
+        whole = self.id_of.get(text)
+        if whole is not None and self.fits("", text):
+            return [whole]
         n, at, size = len(text), 0, len(self.pieces)
         failed, known = bytearray((n >> 3) + 1), self._pairs
         here, block = self._starts(text, 0), 0
@@ -150,9 +156,7 @@ class PieceModel:
                 fits = known.get(pair) if i >= 0 else None
                 if fits is None:
                     fits = self.fits(text[ends[-2] : at] if ids else "", text[at:to])
-                    if i >= 0 and before >= 0:
-                        if len(known) >= REMEMBERED:
-                            known.clear()
+                    if i >= 0 and before >= 0 and len(known) < PAIRS:
                         known[pair] = fits
                 if fits:
                     ids.append(i)
@@ -207,9 +211,7 @@ class PieceModel:
             ids = known.get(part)
             if ids is None:
                 ids = self.segment(part)
-                if len(part) <= _LONG:
-                    if len(known) >= REMEMBERED:
-                        known.clear()
+                if len(part) <= _LONG and len(known) < SEGMENTS:
                     known[part] = ids
             found.append(ids)
         return list(chain.from_iterable(found))
