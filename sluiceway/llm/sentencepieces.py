@@ -25,6 +25,8 @@ SPACE = "▁"
 SEGMENTS, PAIRS = 700_000, 600_000
 #: Characters whose matches are looked up at a time.
 BLOCK = 4096
+#: Rows that are decoded at a time.
+_ROWS = 32
 #: Longer segments are not remembered.
 _LONG = 64
 
@@ -287,10 +289,10 @@ def decode_texts(encoded: DataFrame, model_path: str, id_col: str = "doc_id", id
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(proto.value)
         for batch in batches:
-            for k in range(batch.num_rows):
-                row = batch.slice(k, 1)
-                text = model.decode(row.column("ids")[0].as_py() or [])
-                yield pa.RecordBatch.from_arrays([*row.columns, pa.array([text], pa.string())], ["piece_id", "ids", "text"])
+            for at in range(0, batch.num_rows, _ROWS):
+                part = batch.slice(at, _ROWS)
+                lists = (row.values.to_numpy().tolist() if row.is_valid else [] for row in part.column("ids"))
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array([model.decode(ids) for ids in lists], pa.string())], ["piece_id", "ids", "text"])
 
     rows = encoded.select(F.col(id_col).alias("piece_id"), F.col(ids_col).cast("array<int>").alias("ids"))
     kind = dict(rows.dtypes)["piece_id"]
