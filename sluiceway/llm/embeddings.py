@@ -25,30 +25,39 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.array(column.to_pylist(), np.float64)
 
 
-def principal_axes(vectors: DataFrame) -> np.ndarray:
-    """Axes of the covariance of all unit vectors in ``unit``, the largest variance first."""
+def _by_length(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
+    lengths = batch.column("length").to_numpy()
+    for length in np.unique(lengths):
+        yield int(length), batch.filter(pa.array(lengths == length))
+
+
+def principal_axes(vectors: DataFrame) -> dict[int, np.ndarray]:
+    """For each length among the unit vectors in ``unit``, the axes of their covariance, the largest variance first."""
 
     def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = None
+        totals: dict[int, np.ndarray] = {}
         for batch in batches:
-            x = _matrix(batch.column("unit"))
-            x = np.hstack([np.ones((len(x), 1)), x]) if len(x) else np.zeros((0, 1))
-            if len(x):
-                total = x.T @ x + (0 if total is None else total)
-        if total is not None:
+            for length, part in _by_length(batch):
+                x = _matrix(part.column("unit"))
+                x = np.hstack([np.ones((len(x), 1)), x])
+                totals[length] = x.T @ x + totals.get(length, 0)
+        for length, total in totals.items():
             n = total.size
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(n)), pa.array(total.ravel())], ["place", "value"])
-
-    sums = vectors.select("unit").mapInArrow(moments, "place long, value double").groupBy("place").agg(F.sum("value")).collect()
-    # One number for each pair of dimensions.
-    flat = np.zeros(len(sums))
-    for place, value in sums:
-        flat[place] = value
-    side = int(round(len(flat) ** 0.5))
-    total = flat.reshape(side, side)
-    mean = total[0, 1:] / total[0, 0]
-    values, axes = np.linalg.eigh(total[1:, 1:] / total[0, 0] - np.outer(mean, mean))
-    return axes[:, np.argsort(-values)]
+            columns = [pa.array(np.full(n, length)), pa.array(np.arange(n)), pa.array(total.ravel())]
+            yield pa.RecordBatch.from_arrays(columns, ["length", "place", "value"])
+
+    parts = vectors.select("length", "unit").mapInArrow(moments, "length long, place long, value double")
+    # One number for each pair of dimensions of a length.
+    totals: dict[int, np.ndarray] = {}
+    for length, place, value in parts.groupBy("length", "place").agg(F.sum("value")).collect():
+        totals.setdefault(length, np.zeros((length + 1) ** 2))[place] = value
+    axes = {}
+    for length, flat in totals.items():
+        total = flat.reshape(length + 1, length + 1)
+        mean = total[0, 1:] / total[0, 0]
+        values, found = np.linalg.eigh(total[1:, 1:] / total[0, 0] - np.outer(mean, mean))
+        axes[length] = found[:, np.argsort(-values)]
+    return axes
 
 
 def _near(a: np.ndarray, b: np.ndarray, exact_a: np.ndarray, exact_b: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
@@ -92,13 +101,15 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
 
     n_links counts the other rows with cosine >= ``threshold``; component_id is the smallest id reachable over
     such links, the row's own included, and kept marks the row that has it. Equal vectors are compared once,
-    with their number as weight. Null and zero vectors and those with null or non-finite components, of
-    another length than most, or without an id, link with nothing and are their own component. Of rows that
-    repeat an id, each counts as a vector. Other columns are ignored, whatever their names.
-
-    All others are turned to their principal axes and ordered by the first coordinate, which differs by at most
-    sqrt(2 - 2 * threshold) between linked unit vectors. Tiles are ranges of it; a tile meets only the tiles
-    within that distance. Tasks return counts and spanning links, not pairs.
+    with their number as weight. Null and zero vectors and those with null or non-finite components, or
+    without an id, link with nothing and are their own component. Vectors of different lengths have no cosine and so
+    link only with those of their own length. Of rows that repeat an id, each counts as a vector. Other columns are
+    ignored, whatever their names.
+
+    All others are turned to the principal axes of their length and ordered by the first coordinate, which differs by at
+    most sqrt(2 - 2 * threshold) between linked unit vectors. Tiles are ranges of it within a length; a tile meets only
+    the tiles within that distance. Tasks return counts and spanning links, not pairs. A length with no more vectors
+    than dimensions keeps its own axes, so the driver never holds more numbers of axes than the table has components.
     """
     spark = vectors.sparkSession
     values = F.transform(F.col(vector_col), lambda v: v.cast("double"))
@@ -113,39 +124,46 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     classes = rows.where("usable").groupBy("group", "w").agg(F.min("id").alias("least"), F.count("*").alias("copies"))
     classes = classes.withColumnRenamed("w", "v").withColumn("unit", F.transform("v", lambda v: v / F.sqrt(squares)))
     # Numbers are fixed by being saved; an id may stand in several classes.
-    classes = saved(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
-    lengths = classes.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").limit(1).collect()
+    classes = saved(classes.withColumn("length", F.size("v").cast("long")).withColumn("node", F.monotonically_increasing_id()), "classes")
+    counts = {r.length: r["count"] for r in classes.groupBy("length").count().collect()}
     single = rows.where("not usable").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
-    if not lengths:
+    if not counts:
         return single.select(F.col("id").alias(id_col), "n_links", F.col("component_id"), F.lit(True).alias("kept"))
-    usual = classes.where(F.size("v") == lengths[0][0])
-    axes = principal_axes(usual)
-    count = usual.count()
-    first = sum((F.element_at("unit", k + 1) * float(x) for k, x in enumerate(axes[:, 0])), F.lit(0.0))
-    placed = usual.select("node", "copies", "v", "unit", first.alias("first"))
-    # One border for each tile: what the driver holds is one number for every TILE vectors.
-    parts = max(1, count // tile)
-    borders = sorted(set(placed.approxQuantile("first", [k / parts for k in range(1, parts)], 0.2 / parts))) if parts > 1 else []
+    many = sorted(length for length, count in counts.items() if count > length)
+    axes = principal_axes(classes.where(F.col("length").isin(many))) if many else {}
+    first = F.get("unit", F.lit(0))
+    for length, turn in axes.items():
+        along = sum((F.get("unit", F.lit(k)) * float(x) for k, x in enumerate(turn[:, 0])), F.lit(0.0))
+        first = F.when(F.col("length") == length, along).otherwise(first)
+    placed = classes.select("node", "copies", "v", "unit", "length", first.alias("first"))
+    # One border for each tile: what the driver holds is one number for every ``tile`` vectors. Each length has numbers
+    # of its own for its tiles, so that tiles of two lengths never meet.
+    borders, base = {}, 0
+    for length, count in sorted(counts.items()):
+        parts = count // tile
+        own = placed.where(F.col("length") == length)
+        inner = sorted(set(own.approxQuantile("first", [k / parts for k in range(1, parts)], 0.2 / parts))) if parts > 1 else []
+        borders[length] = (base, inner)
+        base += len(inner) + 1
     reach = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + _MARGIN
 
     def tiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            exact, first = _matrix(batch.column("v")), batch.column("first").to_numpy()
-            turned = _matrix(batch.column("unit")) @ axes
-            own = np.searchsorted(borders, first, side="right")
-            salt = batch.column("salt").to_numpy()
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(own.astype(np.int64)), pa.array(np.searchsorted(borders, first + reach, side="right").astype(np.int64)), pa.array(salt),
-                    batch.column("node"), batch.column("copies"),
-                    pa.array([x.tobytes() for x in exact], pa.binary()), pa.array([x.tobytes() for x in turned], pa.binary()),
-                ],
-                ["tile", "last", "salt", "node", "copies", "exact", "turned"],
-            )
-
-    salted = placed.withColumn("salt", F.xxhash64("node")).select("node", "copies", "v", "unit", "first", "salt")
+        for whole_batch in batches:
+            for length, batch in _by_length(whole_batch):
+                exact, first = _matrix(batch.column("v")), batch.column("first").to_numpy()
+                turned = _matrix(batch.column("unit"))
+                turned = turned @ axes[length] if length in axes else turned
+                base, inner = borders[length]
+                own, last = (base + np.searchsorted(inner, x, side="right") for x in (first, first + reach))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(own.astype(np.int64)), pa.array(last.astype(np.int64)), batch.column("salt"), batch.column("node"), batch.column("copies"),
+                        pa.array([x.tobytes() for x in exact], pa.binary()), pa.array([x.tobytes() for x in turned], pa.binary()),
+                    ],
+                    ["tile", "last", "salt", "node", "copies", "exact", "turned"],
+                )
+
+    salted = placed.withColumn("salt", F.xxhash64("node")).select("node", "copies", "v", "unit", "length", "first", "salt")
     flat = saved(salted.mapInArrow(tiled, "tile long, last long, salt long, node long, copies long, exact binary, turned binary"), "tiles")
     # A tile with many vectors at one place is cut into blocks by a hash, so that none outgrows a task.
     tiles = saved(flat.groupBy("tile").agg(F.max("last").alias("last"), F.ceil(F.count("*") / BLOCK).alias("blocks")), "extent")
@@ -190,9 +208,9 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
                 )
 
     found = saved(pairs.mapInArrow(compared, "node long, links long, other long"), "links")
-    counts = found.groupBy("node").agg(F.sum("links").alias("links"))
+    links = found.groupBy("node").agg(F.sum("links").alias("links"))
     linked = connected_components(found.select(F.col("node").alias("src"), F.col("other").alias("dst")))
-    named = classes.select("node", "group", F.col("v").alias("w"), "least", "copies").join(counts, "node", "left").join(linked, "node", "left")
+    named = classes.select("node", "group", F.col("v").alias("w"), "least", "copies").join(links, "node", "left").join(linked, "node", "left")
     named = saved(named.withColumn("component", F.coalesce("component", "node")), "named")
     smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
     named = named.join(smallest, "component").select("group", "w", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id")
