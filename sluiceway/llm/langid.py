@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import remainder, slices
@@ -76,22 +76,47 @@ def _clustered(x: np.ndarray, k: int = CENTROIDS, rounds: int = 10) -> np.ndarra
     return centroids
 
 
+def fit_rows(known: DataFrame, rows: int) -> DataFrame:
+    """(lang, fit_id, text) of the ``rows`` texts of each language whose ids have the smallest hashes, in one plan.
+
+    Rows equal in all three count once. The rows of a language are first cut within ranges of the hash's last bits, so that
+    no task has to see a whole language.
+    """
+    keys = ["lang", "fit_id", "digest"]
+    narrow = known.select("lang", "fit_id", F.xxhash64("text").alias("digest")).distinct().withColumn("place", F.xxhash64("fit_id"))
+    for part in (["lang", F.pmod("place", F.lit(256))], ["lang"]):
+        order = Window.partitionBy(*part).orderBy("place", "fit_id", "digest")
+        narrow = narrow.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= rows).drop("rank")
+    # At most ``rows`` keys of each language: that is the bound of the broadcast.
+    return known.withColumn("digest", F.xxhash64("text")).join(F.broadcast(narrow.select(*keys)), keys).dropDuplicates(keys).select("lang", "fit_id", "text")
+
+
+def document_frequencies(known: DataFrame) -> tuple[int, np.ndarray]:
+    """How many texts have a letter, and how many of these have an n-gram in each dimension, over all rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(DIMENSIONS + 1, np.int64)
+        for batch in slices(batches, "text", rows=_ROWS):
+            counts, letters = _counts(batch.column("text"))
+            total[:-1] += (counts[letters] > 0).sum(0)
+            total[-1] += letters.sum()
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], ["slot", "n"])
+
+    total = np.zeros(DIMENSIONS + 1, np.int64)
+    for slot, n in known.select("text").mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n")).collect():
+        total[slot] = n
+    return int(total[-1]), total[:-1]
+
+
 def fit_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows: int = FIT_ROWS) -> dict | None:
-    """Centroids and inverse document frequencies, from at most ``rows`` documents of each language.
+    """Centroids of at most ``rows`` documents of each language, with document frequencies of all rows learned from.
 
-    The sample is the rows with the smallest hashes of their ids, outside the held-out fold. Rows without id,
-    language or text are not learned from; without any row the result is None.
+    Rows without id, language or text, and those of the held-out fold, are not learned from; without any row the
+    result is None. The sample is that of :func:`fit_rows`.
     """
     known = docs.select(F.col(id_col).alias("fit_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     known = known.where("fit_id is not null and lang is not null and text is not null").where(remainder(F.col("fit_id"), FOLDS) != HELD_OUT)
-    sample = None
-    for (lang,) in sorted(known.select("lang").distinct().collect()):
-        part = known.where(F.col("lang") == lang).select("fit_id", "lang").orderBy(F.xxhash64("fit_id"), "fit_id").limit(rows)
-        sample = part if sample is None else sample.unionByName(part)
-    if sample is None:
-        return None
-    # At most FIT_ROWS ids of each language: that is the bound of the broadcast.
-    found = known.join(F.broadcast(sample.distinct()), ["fit_id", "lang"]).toArrow().sort_by([("lang", "ascending"), ("fit_id", "ascending"), ("text", "ascending")])
+    found = fit_rows(known, rows).toArrow().sort_by([("lang", "ascending"), ("fit_id", "ascending"), ("text", "ascending")])
     counts, langs = [], []
     for batch in slices(iter(found.combine_chunks().to_batches()), "text", rows=_ROWS):
         count, letters = _counts(batch.column("text"))
@@ -99,9 +124,9 @@ def fit_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         langs += [x for x, y in zip(batch.column("lang").to_pylist(), letters) if y]
     if not langs:
         return None
-    counts = np.concatenate(counts)
-    idf = (np.log((1 + len(counts)) / (1 + (counts > 0).sum(0))) + 1).astype(np.float32)
-    x, langs = _vectors(counts, idf), np.array(langs)
+    n, holding = document_frequencies(known)
+    idf = (np.log((1 + n) / (1 + holding)) + 1).astype(np.float32)
+    x, langs = _vectors(np.concatenate(counts), idf), np.array(langs)
     names = sorted(set(langs))
     clusters = [_clustered(x[langs == name]) for name in names]
     return {"names": [n for n, c in zip(names, clusters) for _ in range(len(c))], "centroids": np.concatenate(clusters), "idf": idf}

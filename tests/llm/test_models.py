@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from corpora import SCHEMA, crc, frame, hard_rows, words
-from sluiceway.llm.langid import fit_language, predict_language
+from sluiceway.llm.langid import DIMENSIONS, document_frequencies, fit_language, fit_rows, predict_language
 from sluiceway.llm.lm import score_texts
 from sluiceway.llm.mixing import count_bits, fit_mixer, log10_words
 from sluiceway.llm.quality import fit_quality, keep_good, score_quality
@@ -83,6 +83,36 @@ def test_languages_of_hard_rows(spark):
     assert {(r.lang_pred, r.score) for r in predict_language(docs, None).collect()} == {("und", 0.0)}
 
 
+def grams(text):
+    """Hashed n-grams of one text by hand: letters made small, everything else that is ASCII a space."""
+    data = (text or "").encode()
+    small = bytearray()
+    for k, c in enumerate(data):
+        lead = k and data[k - 1] == 0xC3 and 0x80 <= c < 0x9F
+        small.append(c + 32 if lead or 65 <= c < 91 else c if c >= 128 or 97 <= c < 123 else 32)
+    found = {bytes(small[i : i + n]) for n in (1, 2, 3) for i in range(len(small) - n + 1)}
+    code = lambda g: (int.from_bytes(g, "big") + (len(g) << 40)) * 0x9E3779B97F4A7C15 % (1 << 64)
+    return {code(g) >> (64 - DIMENSIONS.bit_length() + 1) for g in found if g.strip(b" ")}
+
+
+def test_document_frequencies_are_those_of_all_rows(spark):
+    rows = [r for r in hard_rows() if r[1] is not None] + [(i, speech(list(SYLLABLES)[i % 3], i), "x", "s", 1) for i in range(90)]
+    n, holding = document_frequencies(frame(spark, rows))
+    lettered = [r[1] for r in rows if any(c.isalpha() for c in r[1])]
+    expected = Counter(g for t in lettered for g in grams(t))
+    assert n == len(lettered) and holding.tolist() == [expected[g] for g in range(DIMENSIONS)]
+
+
+def test_language_sample_is_one_plan_with_equal_rows_once(spark):
+    rows = [(i // 4, lang, f"text {i // 4} {i % 2}") for lang in ("a", "b", "c") for i in range(400)] + [(7, "hot", "same")] * 500
+    known = spark.createDataFrame(rows, "fit_id long, lang string, text string").repartition(5)
+    got = [tuple(r) for r in fit_rows(known, 9).collect()]
+    assert len(set(got)) == len(got) and Counter(r[0] for r in got) == {"a": 9, "b": 9, "c": 9, "hot": 1}
+    assert {(i, t) for lang, i, t in got if lang == "a"} == {(i, t) for lang, i, t in got if lang == "b"}
+    plan = fit_rows(known, 9)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") == 2, "one narrow read and one of the texts, whatever the languages"
+
+
 def test_scores_count_exactly(spark):
     rows = hard_rows() + [(1000 + i, words(i, 80), None, None, None) for i in range(60)]
     counts = Counter()
