@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluiceway.functions.conform import conform
-from sluiceway.workspace import materialise
+from sluiceway.workspace import materialise, work_scope
 
 _BLANKS = "".join(filter(str.isspace, map(chr, range(0x3001))))
 _SLASHES = re.compile(r"^(\w+):/+")
@@ -186,7 +186,8 @@ def read_sections(spark: SparkSession, *paths: str) -> dict[str, DataFrame]:
         return {}
     lines = materialise(_placed_lines(spark, list(paths)), "lines")
     # One row per table name, as many as there will be DataFrames.
-    sections = _sections(lines).collect()
+    with work_scope(spark):
+        sections = _sections(lines).collect()
     if not sections:
         return {}
     places = spark.createDataFrame([(s.header.pos,) for s in sections], "pos long")
