@@ -58,6 +58,11 @@ ORACLES = {
     "spec_query": REGIONAL_SALES,
     "spec_load": REGIONAL_SALES,
     "product_sales": PRODUCT_SALES,
+    "job_shared": f"""
+        WITH {ENRICHED_ORDERS}
+        SELECT category AS item, CAST(SUM(l_quantity) AS BIGINT) AS quantity FROM enriched_orders GROUP BY category
+        UNION ALL
+        SELECT CAST(o_orderkey AS VARCHAR), CAST(SUM(l_quantity) AS BIGINT) FROM enriched_orders GROUP BY o_orderkey""",
     "step_chain": PRODUCT_SALES,
     "step_validated": PRODUCT_SALES,
     "job_load": PRODUCT_SALES,

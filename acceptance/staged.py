@@ -124,6 +124,27 @@ def job_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(target).drop("load_ts")
 
 
+def job_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads and a check of outputs that all need the enriched orders, which are evaluated once; both targets, side by side."""
+    register(spark, sf_dir, *STAR_TABLES)
+    targets = {name: new_work_table(spark, name) for name in ("product_sales", "order_values")}
+    order_values = {
+        "name": "order_values",
+        "query": "SELECT o_orderkey, SUM(l_quantity) AS quantity FROM enriched_orders GROUP BY o_orderkey",
+    }
+    config = {
+        "extract": [CUSTOMER_ORDERS],
+        "transform": [ENRICHED_ORDERS, PRODUCT_SALES, order_values],
+        "outputs": ["enriched_orders", "product_sales"],
+        "load": [{"table_name": table, "dataframe_name": name, "load_type": "truncate"} for name, table in targets.items()],
+    }
+    run_job(spark, config).release(spark)
+    sales, values = (spark.table(targets[name]) for name in ("product_sales", "order_values"))
+    return sales.select(F.col("category").alias("item"), F.col("total_quantity").alias("quantity")).union(
+        values.select(F.col("o_orderkey").cast("string"), F.col("quantity").cast("bigint"))
+    )
+
+
 def job_connector(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A job of which only one phase transforms, and whose target is a connector's; its files are read back."""
     register(spark, sf_dir, *STAR_TABLES)
@@ -282,6 +303,7 @@ QUERIES = {
     "step_params": step_params,
     "step_materialised": step_materialised,
     "job_load": job_load,
+    "job_shared": job_shared,
     "job_connector": job_connector,
     "spec_load": spec_load,
     "sectioned_read": sectioned_read,

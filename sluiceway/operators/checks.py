@@ -54,11 +54,19 @@ def require_nonempty(df: DataFrame, name: str) -> None:
 
 def require_outputs(spark: SparkSession, names: Sequence[str]) -> dict[str, int]:
     """Row counts of the named views or tables; raise if one of them is empty."""
-    counts = {row.view_name: row.row_count for row in check_outputs(spark, names).collect()}
+    return require_counted(spark, names, {})
+
+
+def require_counted(spark: SparkSession, names: Sequence[str], counted: Mapping[str, int]) -> dict[str, int]:
+    """:func:`require_outputs`, reading only those whose rows are not ``counted`` yet."""
+    unread = [name for name in names if name not in counted]
+    counts = dict(counted)
+    if unread or not names:
+        counts |= {row.view_name: row.row_count for row in check_outputs(spark, unread).collect()}
     empty = [name for name in names if counts[name] == 0]
     if empty:
         raise CheckFailed(f"empty: {', '.join(empty)}")
-    return counts
+    return {name: counts[name] for name in names}
 
 
 def require_conditions(df: DataFrame, name: str, conditions: Mapping[str, str]) -> None:
