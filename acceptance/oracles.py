@@ -146,6 +146,10 @@ ORACLES = {
         SELECT c_custkey, c_name, c_acctbal FROM customer
         UNION ALL SELECT c_custkey, c_name, c_acctbal FROM customer""",
     "load_truncate": NEGATIVE,
+    "load_retry": """
+        SELECT c_custkey, c_name, c_acctbal, 'monday' AS load_batch FROM customer
+        UNION ALL SELECT c_custkey, c_name, c_acctbal, 'tuesday' FROM customer WHERE c_acctbal < 0
+        UNION ALL SELECT c_custkey, c_name, c_acctbal, 'replaced' FROM customer WHERE c_acctbal < 0""",
     "load_overwrite": "SELECT s_suppkey, s_acctbal FROM supplier",
     "load_create": "SELECT c_custkey, c_name, TRUE AS created FROM customer",
     "load_audit": """

@@ -14,6 +14,7 @@ from sluiceway.operators import (
     check_outputs,
     create_target,
     load,
+    load_batch,
     ordered,
 )
 from sluiceway.plans import run_job, run_step, run_steps, stage_from_spec
@@ -219,6 +220,21 @@ def load_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(target).drop("load_ts")
 
 
+def load_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches of which some come twice: appended by calls, and replacing one another as loads of a job."""
+    customers = _customers(spark, sf_dir)
+    customers.createOrReplaceTempView("all_customers")
+    appended, replaced = new_work_table(spark, "appended"), new_work_table(spark, "replaced")
+    for batch in ("monday", "tuesday", "monday"):
+        load_batch(customers if batch == "monday" else customers.filter("c_acctbal < 0"), appended, batch)
+    step = {"name": "replacing", "query": "SELECT * FROM all_customers WHERE c_acctbal < :most", "dynamic_variable_flag": True}
+    for batch, most in (("first", 5000), ("second", 0), ("second", 9999)):
+        item = {"table_name": replaced, "dataframe_name": "replacing", "load_type": "truncate", "batch": batch}
+        run_job(spark, {"transform": [step], "load": [item]}, params={"most": most})
+    held = spark.table(appended).select("c_custkey", "c_name", "c_acctbal", "load_batch")
+    return held.union(spark.table(replaced).select("c_custkey", "c_name", "c_acctbal", F.lit("replaced")))
+
+
 def load_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     register(spark, sf_dir, "supplier")
     target = new_work_table(spark, "overwrite")
@@ -310,6 +326,7 @@ QUERIES = {
     "sectioned_bundle": sectioned_bundle,
     "load_append": load_append,
     "load_truncate": load_truncate,
+    "load_retry": load_retry,
     "load_overwrite": load_overwrite,
     "load_create": load_create,
     "load_audit": load_audit,

@@ -1,8 +1,10 @@
-"""Output partitioning by estimated size."""
+"""Output partitioning by size: that of files written already, or an estimate."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed value: bytes of one output partition.
@@ -31,3 +33,19 @@ def repartition_by_size(df: DataFrame, partition_bytes: int = PARTITION_BYTES) -
     DataFrame that is kept with :func:`sluiceway.operators.load.reused`.
     """
     return df.repartition(size_report(df, partition_bytes).first().partitions)
+
+
+def file_bytes(spark: SparkSession, table: str) -> int:
+    """Bytes of a table's files as their folder lists them; no row is read."""
+    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS NOSCAN")
+    about = json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {table} AS JSON").first()[0])
+    return about.get("statistics", {}).get("size_in_bytes", 0)
+
+
+def repartition_by_files(spark: SparkSession, table: str, partition_bytes: int | None = None) -> DataFrame:
+    """A table's rows, spread evenly over as many partitions as its files ask for.
+
+    A partition stands for ``PARTITION_BYTES`` of files or up to twice as much, provided that the target's format
+    packs rows as the table's does.
+    """
+    return spark.table(table).repartition(max(1, file_bytes(spark, table) // (partition_bytes or PARTITION_BYTES)))

@@ -1,3 +1,4 @@
+from sluiceway.operators.batches import load_batch
 from sluiceway.operators.checks import (
     CheckFailed,
     check_conditions,
@@ -22,6 +23,7 @@ __all__ = [
     "grouped",
     "join",
     "load",
+    "load_batch",
     "load_external",
     "ordered",
     "require_conditions",

@@ -18,7 +18,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from sluiceway.functions.sizing import repartition_by_size
+from sluiceway.functions.sizing import repartition_by_files
 from sluiceway.operators.checks import CheckFailed, require_counts, violations
 from sluiceway.workspace import drop_work_table, new_work_table
 
@@ -86,7 +86,7 @@ def load(
             return removed, not exists
         create_target(rows, table)
         (
-            _aligned(rows, spark.table(table).columns, table)
+            aligned(rows, spark.table(table).columns, table)
             .write.option("partitionOverwriteMode", "static")
             .insertInto(table, overwrite=load_type == "truncate")
         )
@@ -123,34 +123,24 @@ def load_external(
     return _run(audited(df), target, write, conditions or {}, nonempty, sized, staged)
 
 
-def load_item(df: DataFrame, table: str, item: Mapping[str, Any], **load_options: Any) -> LoadResult:
-    """Load as a declared item says: into a catalog table, or with ``format`` and ``options`` through a connector.
-
-    The connector gets the table's name as ``table``, unless the options say where to write.
-    """
-    load_type = item.get("load_type", "append")
-    if "format" not in item:
-        if "options" in item:
-            raise ValueError("options need a connector format")
-        return load(df, table, load_type, **load_options)
-    options = dict(item.get("options") or {})
-    if not {"table", "dbtable", "path"} & set(options):
-        options["table"] = table
-    return load_external(df, item["format"], load_type, **load_options, **options)
-
-
 def _check_arguments(df: DataFrame, load_type: str, direct_but_gated: bool) -> None:
     if load_type not in LOAD_TYPES:
         raise ValueError(f"load_type must be one of {', '.join(LOAD_TYPES)}, not {load_type!r}")
     if direct_but_gated:
         raise ValueError("a direct load can be neither checked beforehand nor sized")
+    check_names(df)
+
+
+def check_names(df: DataFrame) -> None:
+    """Raise if two columns have one name."""
     names = [name.lower() for name in df.columns]
     twice = sorted({name for name in names if names.count(name) > 1})
     if twice:
         raise ValueError(f"columns occur more than once: {', '.join(twice)}")
 
 
-def _aligned(rows: DataFrame, columns: list[str], table: str) -> DataFrame:
+def aligned(rows: DataFrame, columns: list[str], table: str) -> DataFrame:
+    """The rows with their columns in the order of the table's; raise unless they are the same ones."""
     have = {name.lower() for name in rows.columns}
     want = {name.lower() for name in columns}
     if have != want:
@@ -159,6 +149,14 @@ def _aligned(rows: DataFrame, columns: list[str], table: str) -> DataFrame:
     return rows.select(*[F.col(f"`{name}`") for name in columns])
 
 
+def observed(rows: DataFrame, conditions: Mapping[str, str]) -> tuple[DataFrame, Observation]:
+    """Rows whose number, and violations of the i-th condition as ``c<i>``, are known once they have been written."""
+    # Observed in the task that writes, whose numbers count once even if executors are lost on the way.
+    seen = Observation()
+    broken = [violations(condition).alias(f"c{i}") for i, condition in enumerate(conditions.values())]
+    return rows.observe(seen, F.count(F.lit(1)).alias("rows"), *broken), seen
+
+
 def _run(
     rows: DataFrame,
     target: str,
@@ -169,14 +167,7 @@ def _run(
     staged: bool,
 ) -> LoadResult:
     spark = rows.sparkSession
-    # Observed in the task that writes, whose numbers count once even if executors are lost on the way.
-    labels = list(conditions)
-    seen = Observation()
-    counted = rows.observe(
-        seen,
-        F.count(F.lit(1)).alias("rows"),
-        *[violations(conditions[label]).alias(f"c{i}") for i, label in enumerate(labels)],
-    )
+    counted, seen = observed(rows, conditions)
     if not staged:
         removed, created = write(counted)
         return LoadResult(target, removed, seen.get["rows"], created)
@@ -185,13 +176,12 @@ def _run(
         counted.write.saveAsTable(table)
         if nonempty and seen.get["rows"] == 0:
             raise CheckFailed(f"nothing to load into '{target}'")
-        require_counts(target, {label: seen.get[f"c{i}"] for i, label in enumerate(labels)})
+        require_counts(target, {label: seen.get[f"c{i}"] for i, label in enumerate(conditions)})
     except BaseException:
         drop_work_table(spark, table)
         raise
-    ready = spark.table(table)
     try:
-        removed, created = write(repartition_by_size(ready) if sized else ready)
+        removed, created = write(repartition_by_files(spark, table) if sized else spark.table(table))
     except Exception as error:
         # The target may have lost its rows by now, so the new ones must not go as well.
         error.add_note(f"the rows for '{target}' are kept in {table}")

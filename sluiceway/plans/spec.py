@@ -19,8 +19,9 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluiceway.operators.declared import load_item
 from sluiceway.operators.joins import join, join_name
-from sluiceway.operators.load import LoadResult, load_item
+from sluiceway.operators.load import LoadResult
 from sluiceway.operators.relational import grouped, ordered, union_distinct
 from sluiceway.sources.queries import from_item
 
@@ -29,7 +30,7 @@ _TEXTS = ("table_name", "where_conditions", "having")
 _LISTS = ("select_columns", "group_by", "order_by")
 _QUERY_KEYS = {*_REQUIRED, *_TEXTS, *_LISTS, "join_conditions"}
 # Keys that tell what becomes of the result; load_file is a note for others and is not read.
-_LOAD_KEYS = {"staging_table_name", "load_table", "load_type", "load_file", "format", "options"}
+_LOAD_KEYS = {"staging_table_name", "load_table", "load_type", "load_file", "format", "options", "batch"}
 _JOIN_KEYS = {"join_type", "join_table", "join_condition", "hot_keys"}
 _COUNT = re.compile(r"count\s*\(\s*\*\s*\)", re.IGNORECASE)
 _STAR = re.compile(r"(?:^|[.(,])\s*\*")
@@ -154,7 +155,7 @@ def stage_from_spec(spark: SparkSession, spec: Mapping[str, Any], **load_options
 
     ``load_table`` turns the load on, ``staging_table_name`` names the target, ``load_type`` is
     ``append`` unless given. With ``format`` the target is a connector's, told by ``options``; the name goes
-    along as its ``table``. Without ``load_table`` the spec is only checked and analysed.
+    along as its ``table``. ``batch`` makes the load repeatable. Without ``load_table`` the spec is only checked and analysed.
     """
     rows = query_from_spec(spark, spec)
     if not spec.get("load_table", False):

@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sluiceway.operators.checks import CheckFailed, require_counted
-from sluiceway.operators.load import LoadResult, load_item
+from sluiceway.operators.declared import load_item
+from sluiceway.operators.load import LoadResult
 from sluiceway.sources.queries import read_query
 from sluiceway.sources.sectioned import load_bundle
 from sluiceway.workspace import drop_work_folder, drop_work_table, new_work_table, work_scope
@@ -186,7 +187,7 @@ def run_job(
 
     ``inputs`` are sectioned texts to register first, with ``types`` for their columns. Each load item
     names a ``dataframe_name``, a ``table_name`` and optionally a ``load_type``, ``conditions``, ``sized``,
-    and ``format`` with ``options`` of a connector; a load of an empty DataFrame, or of one that breaks a
+    ``batch``, and ``format`` with ``options`` of a connector; a load of an empty DataFrame, or of one that breaks a
     condition, fails and changes nothing. Work tables go if the job fails; otherwise the result owns them.
     """
     if not {"extract", "transform", "load"} & set(config):

@@ -1,0 +1,188 @@
+"""Batches: what a load leaves behind when it is repeated, refused or killed on the way."""
+
+import glob
+import os
+import uuid
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+
+from sluiceway.functions import PARTITION_BYTES, file_bytes, repartition_by_files
+from sluiceway.operators import CheckFailed, batches, load, load_batch
+from sluiceway.operators.declared import load_item
+from sluiceway.plans import stage_from_spec
+
+
+@pytest.fixture
+def target(spark):
+    name = f"target_{uuid.uuid4().hex}"
+    yield name
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def rows(spark, *values):
+    return spark.createDataFrame(list(values), "id int, name string")
+
+
+def held(spark, table):
+    return sorted(tuple(row) for row in spark.table(table).select("id", "name").collect())
+
+
+def location(spark, table):
+    return batches._described(spark, table)["location"].removeprefix("file:")
+
+
+A, B, C = (1, "a"), (2, "b"), (3, "c")
+
+
+def test_a_batch_that_is_there_adds_nothing_and_is_not_run(spark, target):
+    assert load_batch(rows(spark, A, B), target, "it's \\one").rows_loaded == 2
+    ran = spark.sparkContext.accumulator(0)
+
+    def count(value):
+        ran.add(1)
+        return value
+
+    again = load_batch(rows(spark, C).withColumn("id", F.udf(count, "int")("id")), target, "it's \\one")
+    assert (again.rows_loaded, again.created, ran.value) == (0, False, 0)
+    assert load_batch(rows(spark, C).select("name", "id"), target, "two").rows_loaded == 1
+    assert held(spark, target) == [A, B, C]
+    assert dict(spark.table(target).groupBy("load_batch").count().collect()) == {"it's \\one": 2, "two": 1}
+
+
+def test_an_empty_batch_counts_as_loaded(spark, target):
+    assert load_batch(rows(spark, A).filter("id > 5"), target, "one").rows_loaded == 0
+    assert load_batch(rows(spark, A), target, "one").rows_loaded == 0
+    assert held(spark, target) == []
+
+
+@pytest.mark.parametrize("load_type", ["append", "truncate"])
+def test_what_fails_leaves_rows_and_folder_as_they_were(spark, target, load_type):
+    load_batch(rows(spark, A, B), target, "one", load_type)
+    before = location(spark, target)
+    listed = sorted(glob.glob(f"{before}*/**", recursive=True))
+    bad = rows(spark, C).withColumn("id", F.expr("CAST(raise_error('no') AS INT)"))
+    with pytest.raises(PySparkException):
+        load_batch(bad, target, "two", load_type)
+    with pytest.raises(CheckFailed, match="small"):
+        load_batch(rows(spark, C), target, "two", load_type, conditions={"small": "id < 3"})
+    with pytest.raises(CheckFailed, match="nothing to load"):
+        load_batch(rows(spark, C).filter("id < 3"), target, "two", load_type, nonempty=True)
+    with pytest.raises(ValueError, match="do not fit"):
+        load_batch(rows(spark, C).drop("name"), target, "two", load_type)
+    assert held(spark, target) == [A, B] and location(spark, target) == before
+    assert sorted(glob.glob(f"{before}*/**", recursive=True)) == listed
+
+
+@pytest.mark.parametrize("load_type", ["append", "truncate"])
+def test_a_copy_killed_before_the_switch(spark, target, load_type, monkeypatch):
+    load_batch(rows(spark, A, B), target, "one", load_type)
+    sql = SparkSession.sql
+
+    def killed(self, query, *args, **options):
+        if query.startswith("ALTER TABLE"):
+            raise KeyboardInterrupt
+        return sql(self, query, *args, **options)
+
+    monkeypatch.setattr(SparkSession, "sql", killed)
+    with pytest.raises(KeyboardInterrupt):
+        load_batch(rows(spark, C), target, "two", load_type)
+    monkeypatch.undo()
+    # Its files are still there, as after the driver's death, and belong to no table.
+    spark.catalog.refreshTable(target)
+    assert held(spark, target) == [A, B]
+    assert load_batch(rows(spark, C), target, "two", load_type).rows_loaded == 1
+    assert held(spark, target) == ([A, B, C] if load_type == "append" else [C])
+
+
+def test_of_two_tries_at_once_the_first_counts(spark, target, monkeypatch):
+    load_batch(rows(spark, A), target, "one")
+    written = batches._written
+
+    def overtaken(*args):
+        monkeypatch.undo()
+        assert load_batch(rows(spark, B), target, "two").rows_loaded == 1
+        return written(*args)
+
+    monkeypatch.setattr(batches, "_written", overtaken)
+    assert load_batch(rows(spark, C), target, "two").rows_loaded == 0
+    assert held(spark, target) == [A, B]
+    assert len(glob.glob(f"{location(spark, target)}/_batch-*")) == 2
+
+
+def test_replacing_switches_and_keeps_the_definition(spark, target):
+    spark.sql(f"CREATE TABLE {target} (name STRING, id BIGINT, load_ts TIMESTAMP) USING orc COMMENT 'kept'")
+    load(rows(spark, A), target)
+    first = location(spark, target)
+    result = load_batch(rows(spark, B, C), target, "one", "truncate")
+    assert (result.rows_removed, result.rows_loaded, result.created) == (1, 2, False)
+    assert not os.path.exists(first)
+    # It may read the very table it replaces.
+    second = location(spark, target)
+    result = load_batch(spark.table(target).filter("id > 2").drop("load_ts"), target, "two", "truncate")
+    assert (result.rows_removed, result.rows_loaded) == (2, 1) and not os.path.exists(second)
+    assert load_batch(rows(spark, A), target, "two", "truncate").rows_loaded == 0
+    assert held(spark, target) == [C]
+    about = batches._described(spark, target)
+    assert about["provider"] == "orc" and about["comment"] == "kept"
+    assert glob.glob(f"{target}*", root_dir=os.path.dirname(first)) == [os.path.basename(about["location"])]
+    spark.sql(f"DROP TABLE {target}")
+    assert not os.path.exists(about["location"].removeprefix("file:"))
+
+
+def test_old_files_of_an_external_table_stay(spark, target, tmp_path):
+    rows(spark, A).withColumn("load_ts", F.current_timestamp()).write.option("path", str(tmp_path / "t")).saveAsTable(target)
+    load_batch(rows(spark, B), target, "one", "truncate")
+    assert held(spark, target) == [B] and spark.read.parquet(str(tmp_path / "t")).count() == 1
+
+
+def test_arguments(spark, target):
+    with pytest.raises(ValueError, match="append, truncate"):
+        load_batch(rows(spark, A), target, "one", "overwrite")
+    for batch in ("", None, 7):
+        with pytest.raises(ValueError, match="non-empty"):
+            load_batch(rows(spark, A), target, batch)
+    with pytest.raises(ValueError, match="tells the batch"):
+        load_batch(rows(spark, A).withColumnRenamed("name", "Load_Batch"), target, "one")
+    load(rows(spark, A), target)
+    with pytest.raises(ValueError, match="not partitioned"):
+        load_batch(rows(spark, A), target, "one")
+    with pytest.raises(ValueError, match="connector"):
+        load_item(rows(spark, A), target, {"batch": "one", "format": "parquet"})
+    assert held(spark, target) == [A]
+
+
+def test_partitioned_targets_are_not_switched(spark, target):
+    load_batch(rows(spark, A), target, "one")
+    with pytest.raises(ValueError, match="one step"):
+        load_batch(rows(spark, B), target, "two", "truncate")
+
+
+def test_a_spec_with_a_batch(spark, target):
+    rows(spark, A, B).createOrReplaceTempView("batch_rows")
+    spec = {
+        "select_columns": ["id", "name"], "table_name": "batch_rows", "load_table": True,
+        "staging_table_name": target, "batch": "one",
+    }
+    assert [stage_from_spec(spark, spec).rows_loaded for _ in range(2)] == [2, 0]
+    assert held(spark, target) == [A, B]
+
+
+@pytest.mark.parametrize("batch", [None, "one"])
+def test_sized_loads_write_files_of_the_size_asked_for(spark, target, batch, monkeypatch):
+    size = 256 * 1024
+    monkeypatch.setattr("sluiceway.functions.sizing.PARTITION_BYTES", size)
+    noise = spark.range(60000, numPartitions=8).select(F.col("id").cast("int").alias("id"), F.sha2(F.col("id").cast("string"), 256).alias("name"))
+    load_batch(noise, target, batch, sized=True) if batch else load(noise, target, sized=True)
+    sizes = [os.path.getsize(file.removeprefix("file://")) for file in spark.table(target).inputFiles()]
+    assert len(sizes) > 3 and all(size / 2 <= found <= 2 * size for found in sizes)
+    assert spark.table(target).count() == 60000
+
+
+def test_file_bytes_reads_no_row(spark, target):
+    load(rows(spark, A), target)
+    files = [file.removeprefix("file://") for file in spark.table(target).inputFiles()]
+    assert file_bytes(spark, target) == sum(map(os.path.getsize, files))
+    assert repartition_by_files(spark, target).rdd.getNumPartitions() == 1 and PARTITION_BYTES == 1 << 27
