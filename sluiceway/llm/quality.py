@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .shared import remainder, slices
@@ -69,29 +69,54 @@ def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return (hashes % slot).astype(np.int64), (shape % slot).astype(np.int64), first
 
 
-def _index_vectors() -> np.ndarray:
-    """A sparse vector of ones and minus ones for each slot, from a hash of the slot."""
-    out = np.zeros((SLOTS, SIZE), np.float32)
-    for k in range(NONZERO):
-        h = mixed(np.arange(SLOTS, dtype=np.uint64) * np.uint64(NONZERO) + np.uint64(k + 1))
-        out[np.arange(SLOTS), (h >> np.uint64(1)) % np.uint64(SIZE)] += np.where(h & np.uint64(1), 1, -1)
-    return out
+def _index_vectors() -> tuple[np.ndarray, np.ndarray]:
+    """The index vector of each slot, from a hash of the slot: where it is not zero, and a one or minus one for each such place."""
+    h = mixed(np.arange(SLOTS * NONZERO, dtype=np.uint64) + np.tile(np.arange(1, NONZERO + 1, dtype=np.uint64), SLOTS) * np.uint64(SLOTS * NONZERO))
+    places = (h >> np.uint64(1)) % np.uint64(SIZE)
+    return places.astype(np.int64).reshape(SLOTS, NONZERO), np.where(h & np.uint64(1), 1.0, -1.0).reshape(SLOTS, NONZERO)
 
 
-def _word_vectors(texts: list[pa.Array]) -> np.ndarray:
-    """Sum of the index vectors of what stands near each word, at unit length; shapes see the shapes near them."""
-    index = _index_vectors()
+def _context_sums(texts: pa.Array, index: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """For each slot the sum of the index vectors of what stands within REACH of its words, themselves included; shapes see shapes."""
+    places, signs = index
+    words, shapes, first = _tokens(texts)
+    text = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    sums = np.zeros(SLOTS * SIZE)
+    for tokens in (words, shapes):
+        near = [(tokens, tokens)]
+        for step in range(1, REACH + 1):
+            inside = text[:-step] == text[step:]
+            a, b = tokens[:-step][inside], tokens[step:][inside]
+            near += [(a, b), (b, a)]
+        for a, b in near:
+            for k in range(NONZERO):
+                sums += np.bincount(a * SIZE + places[b, k], weights=signs[b, k], minlength=SLOTS * SIZE)
+    return sums.reshape(SLOTS, SIZE)
+
+
+def word_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
+    """Random-indexing vectors of all slots over all whole texts, at unit length; a slot without a word has zeros.
+
+    Each task sends one row of whole numbers for each slot that it met, which Spark sums by slot; so the result does not
+    depend on how rows lie in tasks. It has SLOTS rows of SIZE numbers whatever the input.
+    """
+    names = [f"v{k}" for k in range(SIZE)]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index, sums = _index_vectors(), np.zeros((SLOTS, SIZE), np.int64)
+        for batch in slices(batches, "text"):
+            sums += _context_sums(batch.column("text"), index).astype(np.int64)
+        met = np.flatnonzero(sums.any(axis=1))
+        for at in range(0, len(met), 8192):
+            part = met[at : at + 8192]
+            yield pa.RecordBatch.from_arrays([pa.array(part), *map(pa.array, np.ascontiguousarray(sums[part].T))], ["slot", *names])
+
+    rows = docs.select(F.col(text_col).cast("string").alias("text"))
+    sent = rows.mapInArrow(count, ", ".join(f"{name} long" for name in ["slot", *names]))
+    found = sent.groupBy("slot").agg(*[F.sum(name).alias(name) for name in names]).toArrow()
     vectors = np.zeros((SLOTS, SIZE), np.float32)
-    for piece in texts:
-        words, shapes, first = _tokens(piece)
-        text = np.repeat(np.arange(len(first) - 1), np.diff(first))
-        for tokens in (words, shapes):
-            for step in range(1, REACH + 1):
-                a, b = tokens[:-step], tokens[step:]
-                inside = text[:-step] == text[step:]
-                np.add.at(vectors, a[inside], index[b[inside]])
-                np.add.at(vectors, b[inside], index[a[inside]])
-            np.add.at(vectors, tokens, index[tokens])
+    if found.num_rows:
+        vectors[found["slot"].to_numpy()] = np.stack([found[name].to_numpy() for name in names], axis=1)
     return vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
 
 
@@ -155,8 +180,9 @@ def fit_quality(
 ) -> QualityModel | None:
     """Fit on at most ``rows`` labelled documents of each class, outside the held-out fold.
 
-    The sample is the rows with the smallest hashes of their ids; the classes are weighted as they occur among
-    all labels of the training folds. Labels other than 0 and 1 are ignored; without any the result is None.
+    Word vectors come from all texts of ``docs``, which takes no labels; the sample is for the network only. It is
+    the rows with the smallest hashes of their ids; the classes are weighted as they occur among all labels of
+    the training folds. Labels other than 0 and 1 are ignored; without any the result is None.
     """
     known = labels.select(F.col(id_col).alias("fit_id"), F.col(label_col).cast("int").alias("label")).where("fit_id is not null and label in (0, 1)")
     known = known.where(remainder(F.col("fit_id"), FOLDS) != 0)
@@ -174,39 +200,51 @@ def fit_quality(
         return None
     pieces = [b.column("text") for b in slices(iter(found.combine_chunks().to_batches()), "text")]
     y = found["label"].to_numpy().astype(float)
-    vectors = _word_vectors(pieces)
+    vectors = word_vectors(docs, text_col)
     x = np.concatenate([_pooled(piece, vectors) for piece in pieces])
     weight = np.array([share[int(label)] / max(1, (y == label).sum()) for label in y])
     return _train(x, y, weight / weight.mean(), vectors)
 
 
+def quality_score(spark: SparkSession, model: QualityModel | None) -> Callable[[Column], Column]:
+    """A function of a text column: the probability of label 1, from Python tasks that get that column alone.
+
+    Null texts score as empty ones, and without a model all score 0.5.
+    """
+    # The model has a fixed size, about 6 MB. It goes as a mapping of arrays: executors may lack this package.
+    shipped = spark.sparkContext.broadcast(model and vars(model))
+
+    @F.arrow_udf("double")
+    def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        model = shipped.value and SimpleNamespace(**shipped.value)
+        for whole in texts:
+            if model is None or len(whole) == 0:
+                yield pa.array(np.full(len(whole), 0.5), pa.float64())
+                continue
+            pieces = slices(iter([pa.RecordBatch.from_arrays([whole], ["text"])]), "text")
+            scores = [_probability(_logits(_pooled(piece.column("text"), model.vectors), model) / model.temperature) for piece in pieces]
+            yield pa.array(np.concatenate(scores), pa.float64())
+
+    return score
+
+
 def score_quality(docs: DataFrame, model: QualityModel | None, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """(``id_col``, held_out, score, predicted) for every row: the probability of label 1, and whether it reaches ``threshold``.
 
     Only the text is scored. Null texts score as empty ones. Without a model every score is 0.5. A null id
     counts as the empty text in the fold. Other columns are ignored, whatever their names.
     """
-    # The model has a fixed size, about 6 MB. It goes as a mapping of arrays: executors may lack this package.
-    shipped = docs.sparkSession.sparkContext.broadcast(model and vars(model))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shipped.value and SimpleNamespace(**shipped.value)
-        for batch in slices(batches, "text"):
-            if model is None:
-                scores = np.full(batch.num_rows, 0.5)
-            else:
-                scores = _probability(_logits(_pooled(batch.column("text"), model.vectors), model) / model.temperature)
-            yield pa.RecordBatch.from_arrays([batch.column("scored_id"), pa.array(scores, pa.float64())], ["scored_id", "score"])
-
-    rows = docs.select(F.col(id_col).alias("scored_id"), F.col(text_col).cast("string").alias("text"))
-    scored = rows.mapInArrow(run, f"scored_id {dict(rows.dtypes)['scored_id']}, score double")
-    return scored.select(
+    score = quality_score(docs.sparkSession, model)
+    rows = docs.select(F.col(id_col).alias("scored_id"), score(F.col(text_col).cast("string")).alias("score"))
+    return rows.select(
         F.col("scored_id").alias(id_col), (remainder(F.col("scored_id"), FOLDS) == 0).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
     )
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id has no rejected text, with the columns of ``docs``."""
-    scored = score_quality(docs, fit_quality(docs, labels))
-    rejected = scored.where("predicted = 0").select(F.col("doc_id").alias("__rejected_id")).distinct()
-    return docs.join(rejected, docs["doc_id"].eqNullSafe(rejected["__rejected_id"]), "left_anti")
+    """The rows of ``docs`` whose text is not rejected, with the columns of ``docs``; no row is shuffled.
+
+    Each row is judged by its own text, whatever others share its id; null texts as empty ones.
+    """
+    score = quality_score(docs.sparkSession, fit_quality(docs, labels))
+    return docs.where(score(docs["text"].cast("string")) >= THRESHOLD)

@@ -5,12 +5,13 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from corpora import SCHEMA, crc, frame, hard_rows, words
 from sluiceway.llm.langid import DIMENSIONS, document_frequencies, fit_language, fit_rows, predict_language
 from sluiceway.llm.lm import score_texts
 from sluiceway.llm.mixing import count_bits, fit_mixer, log10_words
-from sluiceway.llm.quality import fit_quality, keep_good, score_quality
+from sluiceway.llm.quality import SIZE, SLOTS, _index_vectors, _tokens, fit_quality, keep_good, score_quality, word_vectors
 
 SYLLABLES = {"aa": "ka to mi re sol na".split(), "bb": "übe sch ung zei ost".split(), "cc": "ción que ñar los men".split()}
 
@@ -53,6 +54,44 @@ def test_quality_of_hard_rows(spark):
     assert {r.score for r in score_quality(frame(spark, hard_rows()), None).collect()} == {0.5}
 
 
+def brute_vectors(texts):
+    """Sums over all words and all within two places of them, one at a time."""
+    places, signs = _index_vectors()
+    sums = np.zeros((SLOTS, SIZE))
+    for text in texts:
+        for tokens in _tokens(pa.array([text], pa.string()))[:2]:
+            for i, a in enumerate(tokens):
+                for b in tokens[max(0, i - 2) : i + 3]:
+                    for place, sign in zip(places[b], signs[b]):
+                        sums[a, place] += sign
+    return sums
+
+
+def test_word_vectors_of_all_texts(spark):
+    rows = graded_rows()[0][:40] + hard_rows()
+    sums = brute_vectors([text for _, text, *_ in rows])
+    expected = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9)
+    got = word_vectors(frame(spark, rows, clashing=True))
+    assert np.allclose(got, expected, atol=1e-6) and (np.linalg.norm(got, axis=1) > 0).sum() > 100
+    # However the rows lie in tasks.
+    assert np.array_equal(got, word_vectors(frame(spark, rows[::-1]).repartition(7)))
+    assert not word_vectors(spark.createDataFrame([], SCHEMA)).any()
+    places, signs = _index_vectors()
+    assert set(signs.ravel()) == {1, -1} and set(places.ravel()) == set(range(SIZE))
+
+
+def test_kept_rows_are_judged_one_by_one(spark):
+    rows, labels = graded_rows()
+    known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    docs = frame(spark, [*rows, (None, rows[1][1], None, None, None), (1, rows[0][1], "aa", "s", 1), rows[1], (None, None, None, None, None)], clashing=True)
+    scores = {r.text: r.predicted for r in score_quality(docs.withColumn("doc_id", docs.text), fit_quality(docs, known)).withColumnRenamed("doc_id", "text").collect()}
+    kept = keep_good(docs, known)
+    assert sorted(map(repr, kept.collect())) == sorted(repr(r) for r in docs.collect() if scores[r.text])
+    shuffles = [df._jdf.queryExecution().executedPlan().toString().count("Exchange ") for df in (docs, kept)]
+    assert shuffles[0] == shuffles[1]
+    assert sum(r.doc_id == 1 for r in kept.collect()) == 2 and any(r.doc_id is None for r in kept.collect())
+
+
 def test_quality_does_not_see_other_columns(spark):
     rows, labels = graded_rows()
     known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
