@@ -7,10 +7,11 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
-from corpora import SCHEMA, crc, frame, hard_rows, words
-from sluiceway.llm.langid import DIMENSIONS, document_frequencies, fit_language, fit_rows, predict_language
+from corpora import SCHEMA, crc, frame, hard_rows, plain_words, words
+from sluiceway.llm import lm
+from sluiceway.llm.langid import DIMENSIONS, _counts, document_frequencies, fit_language, fit_rows, predict_language
 from sluiceway.llm.lm import score_texts
-from sluiceway.llm.mixing import count_bits, fit_mixer, log10_words
+from sluiceway.llm.mixing import MixerFit, add_sums, count_bits, fit_mixer, left_out, log10_words, no_sums
 from sluiceway.llm.quality import SIZE, SLOTS, _index_vectors, _tokens, fit_quality, keep_good, score_quality, word_vectors
 
 SYLLABLES = {"aa": "ka to mi re sol na".split(), "bb": "übe sch ung zei ost".split(), "cc": "ción que ñar los men".split()}
@@ -195,3 +196,37 @@ def test_the_probabilities_of_all_first_bytes_add_up_to_one():
     assert p.sum() == pytest.approx(1, abs=1e-5)
     assert p[ord("a")] > p[ord("x")] > p[ord("q")]
     assert log10_words(*flat([b"abc"]), kinds[:1], model)[0] > log10_words(*flat([b"abq"]), kinds[:1], model)[0]
+
+
+def test_weights_and_map_are_learned_from_every_training_token(spark, monkeypatch):
+    rows = [(i, words(i, 40, 3000), None, None, None) for i in range(900)]
+    seen = []
+    learn = MixerFit.learn
+    monkeypatch.setattr(MixerFit, "learn", lambda self, sums: (seen.append(sums), learn(self, sums)))
+    score_texts(frame(spark, rows)).collect()
+    tokens = [t for r in rows if crc(r[0], 7) != 2 for t in plain_words(r[1]) + [b""]]
+    assert len(tokens) > 20_000 and seen and all(s["hits"].sum() == sum(8 * (len(t) + 1) for t in tokens) for s in seen)
+    assert seen[-1]["loss"].sum() < seen[0]["loss"].sum()
+
+
+def test_sums_of_a_word_that_stands_often_are_those_of_its_tokens():
+    texts, counts = [b"abc", b"abd", b"", b"xyz"], np.array([5, 3, 9, 2])
+    table = np.zeros(2 << 22)
+    count_bits(*flat(texts), np.zeros(4, np.int64), counts, table)
+    tokens = [t for t, n in zip(texts, counts) for _ in range(n)]
+    once, all_tokens = no_sums(), no_sums()
+    given = left_out(table), table[0::2] + table[1::2], MixerFit().weights
+    add_sums(once, *flat(texts), np.zeros(4, np.int64), counts, *given)
+    add_sums(all_tokens, *flat(tokens), np.zeros(len(tokens), np.int64), np.ones(len(tokens)), *given, chunk=7)
+    assert all(np.allclose(once[name], all_tokens[name], rtol=1e-4) for name in once) and once["loss"].sum() > 0
+
+
+def test_kinds_are_clusters_of_all_training_rows(spark):
+    # The reversed rows come with few words that are alike, so each kind of text has a centroid of its own.
+    rows = [(i, words(i, 30) if i % 2 else words(i, 30)[::-1].upper().replace("W", "qz"), None, None, None) for i in range(1500)]
+    train = pa.array([r[1] for r in rows if crc(r[0], 7) != 2])
+    model = lm.fit_kinds(frame(spark, rows).selectExpr("doc_id as lm_id", "text", "crc32(cast(cast(doc_id as string) as binary)) % 7 <> 2 as train"))
+    holding = (_counts(train, *lm._PROFILE)[0] > 0).sum(0)
+    assert len(train) > 1200 and np.allclose(model["idf"], np.log((1 + len(train)) / (1 + holding)) + 1)
+    kinds = lm._kinds(pa.array([r[1] for r in rows]), model)
+    assert 2 <= len(model["centroids"]) <= lm.KINDS and not set(kinds[::2]) & set(kinds[1::2])
