@@ -22,6 +22,8 @@ THRESHOLD = 0.3
 SLOTS, SIZE, NONZERO = 1 << 15, 48, 4
 REACH = 2
 HIDDEN = 32
+#: Texts are worked on in slices of about so many bytes: a word takes up to 600 bytes while its vectors are summed.
+SLICE = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -76,12 +78,12 @@ def _index_vectors() -> tuple[np.ndarray, np.ndarray]:
     return places.astype(np.int64).reshape(SLOTS, NONZERO), np.where(h & np.uint64(1), 1.0, -1.0).reshape(SLOTS, NONZERO)
 
 
-def _context_sums(texts: pa.Array, index: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """For each slot the sum of the index vectors of what stands within REACH of its words, themselves included; shapes see shapes."""
+def _add_context_sums(texts: pa.Array, index: tuple[np.ndarray, np.ndarray], sums: np.ndarray) -> None:
+    """Add to each slot's row the index vectors of what stands within REACH of its words, themselves included; shapes see shapes."""
     places, signs = index
+    flat = sums.reshape(-1)
     words, shapes, first = _tokens(texts)
     text = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    sums = np.zeros(SLOTS * SIZE)
     for tokens in (words, shapes):
         near = [(tokens, tokens)]
         for step in range(1, REACH + 1):
@@ -90,8 +92,7 @@ def _context_sums(texts: pa.Array, index: tuple[np.ndarray, np.ndarray]) -> np.n
             near += [(a, b), (b, a)]
         for a, b in near:
             for k in range(NONZERO):
-                sums += np.bincount(a * SIZE + places[b, k], weights=signs[b, k], minlength=SLOTS * SIZE)
-    return sums.reshape(SLOTS, SIZE)
+                np.add.at(flat, a * SIZE + places[b, k], signs[b, k])
 
 
 def word_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
@@ -103,9 +104,9 @@ def word_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     names = [f"v{k}" for k in range(SIZE)]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, sums = _index_vectors(), np.zeros((SLOTS, SIZE), np.int64)
-        for batch in slices(batches, "text"):
-            sums += _context_sums(batch.column("text"), index).astype(np.int64)
+        (places, signs), sums = _index_vectors(), np.zeros((SLOTS, SIZE), np.int64)
+        for batch in slices(batches, "text", SLICE):
+            _add_context_sums(batch.column("text"), (places, signs.astype(np.int64)), sums)
         met = np.flatnonzero(sums.any(axis=1))
         for at in range(0, len(met), 8192):
             part = met[at : at + 8192]
@@ -198,7 +199,7 @@ def fit_quality(
     found = texts.join(F.broadcast(sample), "fit_id").select("fit_id", "text", "label").toArrow().sort_by([("fit_id", "ascending"), ("text", "ascending"), ("label", "ascending")])
     if found.num_rows == 0:
         return None
-    pieces = [b.column("text") for b in slices(iter(found.combine_chunks().to_batches()), "text")]
+    pieces = [b.column("text") for b in slices(iter(found.combine_chunks().to_batches()), "text", SLICE)]
     y = found["label"].to_numpy().astype(float)
     vectors = word_vectors(docs, text_col)
     x = np.concatenate([_pooled(piece, vectors) for piece in pieces])
@@ -221,7 +222,7 @@ def quality_score(spark: SparkSession, model: QualityModel | None) -> Callable[[
             if model is None or len(whole) == 0:
                 yield pa.array(np.full(len(whole), 0.5), pa.float64())
                 continue
-            pieces = slices(iter([pa.RecordBatch.from_arrays([whole], ["text"])]), "text")
+            pieces = slices(iter([pa.RecordBatch.from_arrays([whole], ["text"])]), "text", SLICE)
             scores = [_probability(_logits(_pooled(piece.column("text"), model.vectors), model) / model.temperature) for piece in pieces]
             yield pa.array(np.concatenate(scores), pa.float64())
 

@@ -2,6 +2,7 @@
 
 import math
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -12,7 +13,7 @@ from sluiceway.llm import lm
 from sluiceway.llm.langid import DIMENSIONS, _counts, document_frequencies, fit_language, fit_rows, predict_language
 from sluiceway.llm.lm import score_texts
 from sluiceway.llm.mixing import MixerFit, add_sums, count_bits, fit_mixer, left_out, log10_words, no_sums
-from sluiceway.llm.quality import SIZE, SLOTS, _index_vectors, _tokens, fit_quality, keep_good, score_quality, word_vectors
+from sluiceway.llm.quality import SIZE, SLOTS, QualityModel, _index_vectors, _tokens, fit_quality, keep_good, quality_score, score_quality, word_vectors
 
 SYLLABLES = {"aa": "ka to mi re sol na".split(), "bb": "übe sch ung zei ost".split(), "cc": "ción que ñar los men".split()}
 
@@ -95,6 +96,24 @@ def test_kept_rows_are_judged_one_by_one(spark):
     assert sum(r.doc_id == good for r in kept.collect()) == 2 and any(r.doc_id is None for r in kept.collect())
 
 
+def test_quality_scores_in_little_memory(spark):
+    """An Arrow batch may hold many MB of text; the vectors of its words are summed a small part of it at a time."""
+    words = ["alpha", "beta", "Gamma,", "delta.", "e"]
+    texts = pa.array([" ".join(words[(i * j) % 5] for j in range(600)) for i in range(1200)])
+    vectors = np.random.default_rng(0).normal(size=(SLOTS, SIZE)).astype(np.float32)
+    n = 2 * SIZE + 3
+    model = QualityModel(vectors, np.zeros(n), np.ones(n), np.full((n, 2), 0.01), np.zeros(2), np.ones(2), 0.0, 1.0)
+    score = quality_score(spark, model).func
+    alone = [next(score(iter([texts.slice(i, 1)])))[0].as_py() for i in (0, 7, 1199)]
+    tracemalloc.start()
+    whole = next(score(iter([texts])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(whole) == len(texts) and np.allclose([whole[i].as_py() for i in (0, 7, 1199)], alone)
+    # 720,000 words of 48 numbers; it took 226 MB when slices of 2 MB were summed at once.
+    assert peak < 40e6
+
+
 def test_quality_does_not_see_other_columns(spark):
     rows, labels = graded_rows()
     known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
