@@ -285,3 +285,43 @@ def test_kinds_are_clusters_of_all_training_rows(spark):
     assert len(train) > 1200 and np.allclose(model["idf"], np.log((1 + len(train)) / (1 + holding)) + 1)
     kinds = lm._kinds(pa.array([r[1] for r in rows]), model)
     assert 2 <= len(model["centroids"]) <= lm.KINDS and not set(kinds[::2]) & set(kinds[1::2])
+
+
+def test_profiles_travel_as_blocks_of_exact_counts(spark):
+    texts = ["", None, " ", "a", "b" * 300, "c" * 70_000, "d" * 255, "e" * 256, "f" * 65_535, "g" * 65_536, *[words(i, 20) for i in range(2000)]]
+    rows = spark.createDataFrame([(t, i % 5 > 0) for i, t in enumerate(texts)], "text string, train boolean").coalesce(1)
+    expected = _counts(pa.array([t for i, t in enumerate(texts) if i % 5]), *lm._PROFILE)[0]
+    expected = expected[expected.any(axis=1)]
+    saved = lm._profiles(rows)
+    assert saved.count() < 20, "it was a row for each text before"
+    assert {r.width for r in saved.collect()} == {1, 2, 4}
+    found = [(c, x) for counts, logs in lm._unprofiled(iter(saved.toArrow().to_batches())) for c, x in zip(counts, logs)]
+    assert sorted(c.astype(np.int64).tobytes() for c, _ in found) == sorted(c.astype(np.int64).tobytes() for c in expected)
+    assert all((x == np.log1p(c.astype(np.float64)).astype(np.float32)).all() for c, x in found)
+    assert (lm._logs(expected.astype(np.int64)) == np.log1p(expected).astype(np.float32)).all()
+
+
+def test_steps_of_counters_are_a_byte_each_and_the_last_pass_takes_no_derivatives():
+    texts, counts = [f"{'xyz'[i % 3] * (i % 9)}{i % 40}".encode() for i in range(300)], np.arange(300) % 70 + 1
+    table, kinds = np.zeros(2 << 22), np.zeros(300, np.int64)
+    count_bits(*flat(texts), kinds, counts, table)
+    seen = table[0::2] + table[1::2]
+    steps = mixing.seen_steps(seen, less=1)
+    assert steps.dtype == np.uint8
+    met = np.flatnonzero(seen)
+    whole, middle = (np.searchsorted(c, seen[met] - 1, side="right") for c in (mixing._WHOLE_COUNTS, mixing._MIDDLE_COUNTS))
+    slots = [None] * len(mixing.CONTEXTS)
+    slots[-1], slots[mixing._MIDDLE] = met, met[::-1]
+    assert len(set(whole)) > 4 and (mixing._steps(steps, slots) == whole * 3 + middle[::-1]).all()
+    given, weights = (left_out(table), steps), MixerFit().weights
+    sums, plain, last = no_sums(), no_sums(), no_sums()
+    add_sums(sums, *flat(texts), kinds, counts, *given, weights)
+    add_sums(plain, *flat(texts), kinds, counts, given[0], seen, weights)
+    add_sums(last, *flat(texts), kinds, counts, *given, weights, curved=False)
+    assert all((sums[name] == plain[name]).all() for name in sums) and sums["curve"].any()
+    assert all((last[name] == sums[name]).all() for name in ("loss", "hits", "ones")) and not last["curve"].any() and not last["slope"].any()
+    fits = [MixerFit(), MixerFit()]
+    for fit, of in zip(fits, (sums, last)):
+        fit.learn(of)
+    models = [fit.model(table) for fit in fits]
+    assert all((models[0][name] == models[1][name]).all() for name in models[0])
