@@ -76,6 +76,7 @@ def near_pairs(nodes: DataFrame) -> DataFrame:
     4 of the 7 slabs of dimensions at most, so such points lie in one cell of the grid's projection on
     three of the slabs. Cells are joined by equality; a pair counts in the first projection where it meets;
     the Manhattan distance, which can't exceed that of the fingerprints, is tested before the exact one.
+    Spark sizes a side by the table before each row becomes 35, so it is told not to broadcast one.
     """
     masks = _slab_masks()
     cells = []
@@ -94,7 +95,7 @@ def near_pairs(nodes: DataFrame) -> DataFrame:
         & (F.bit_count(F.col("src").bitwiseXOR(F.col("dst"))) <= MAX_DISTANCE)
         & (agreeing.bitwiseAND(F.col("skipped")) == 0)
     )
-    return a.join(b, ["cell", "slabs"]).where(near).select("src", "dst")
+    return a.hint("merge").join(b.hint("merge"), ["cell", "slabs"]).where(near).select("src", "dst")
 
 
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

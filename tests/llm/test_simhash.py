@@ -58,6 +58,12 @@ def test_near_pairs_find_every_pair_once(spark):
     assert len(got) == len(set(got)) and set(got) == expected and expected
 
 
+def test_near_pairs_never_broadcast_the_cells(spark):
+    # A table of 8 bytes a row looks small enough, but 35 cells a row are not.
+    plan = near_pairs(spark.range(1000).withColumnRenamed("id", "fp"))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_manhattan_distance_is_a_lower_bound(spark):
     from pyspark.sql import functions as F
 
