@@ -57,3 +57,28 @@ def test_empty_and_unusable_tables(spark):
     assert near_vectors(spark.createDataFrame([], SCHEMA)).collect() == []
     got = near_vectors(spark.createDataFrame([(1, None), (2, [0.0])], SCHEMA)).collect()
     assert sorted(map(tuple, got)) == [(1, 0, 1, True), (2, 0, 2, True)]
+
+
+def test_work_files_stay_near_the_size_of_the_vectors(spark):
+    import os
+
+    from sluiceway.workspace import work_scope
+
+    rng = np.random.default_rng(9)
+    base = rng.normal(size=(20, 64))
+    rows = [(i, (base[i % 20] + rng.normal(size=64)).tolist()) for i in range(3000)]
+    with work_scope(spark) as work:
+        got = near_vectors(spark.createDataFrame(rows, SCHEMA).repartition(3), tile=64).collect()
+        sizes = [os.path.getsize(os.path.join(at, f)) for folder in work.folders for at, _, files in os.walk(folder.removeprefix("file:")) for f in files]
+    assert len(got) == 3000
+    # Of 256 bytes a vector. Before, vectors were written five times over, at twice their width.
+    assert sum(sizes) < 3 * 3000 * 256
+
+
+def test_a_dense_group_across_blocks_with_copies(spark):
+    rng = np.random.default_rng(12)
+    base = rng.normal(size=30)
+    rows = [(i, (base + rng.normal(size=30) * 0.2).tolist()) for i in range(60)]
+    rows += [(100 + i, (-2.0 * np.array(rows[i % 7][1])).tolist()) for i in range(40)] + [(200 + i, rows[3][1]) for i in range(20)]
+    got = near_vectors(spark.createDataFrame(rows, SCHEMA).repartition(5), tile=8).collect()
+    assert sorted(map(tuple, got), key=repr) == brute(rows)
