@@ -117,12 +117,25 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", groups=simhash_groups) -> DataFrame:
-    """The rows of ``docs`` with the smallest id of their near-duplicate group, with the columns of ``docs``.
+    """One row of each near-duplicate group of ``docs``, that with the smallest id, with the columns of ``docs``.
 
-    ``groups`` is the function that finds the groups, (doc_id, component_id, ...) of each row.
+    ``groups`` is the function that finds the groups, (doc_id, component_id, ...) of each row. It is given a hash of id
+    and text as the id, so that rows without an id, or with an id that others have too, are told apart.
 
-    Rows without an id are kept only where their group has no id at all; of rows that repeat one id in a
-    group all stay, for want of anything to tell them apart.
+    Rows without an id stay only where their group has no id at all, and then one of them. Of rows that repeat both
+    id and text one stays.
     """
-    kept = groups(docs, id_col, text_col).where("doc_id <=> component_id").select(F.col("doc_id").alias("__kept_id")).distinct()
-    return docs.join(kept, docs[id_col].eqNullSafe(kept["__kept_id"]), "left_semi")
+    names = (F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(*names).select("*", F.xxhash64("id", "text").alias("row_key"))
+    named = groups(rows, "row_key", "text").select(F.col("doc_id").alias("row_key"), "component_id").distinct()
+    named = rows.groupBy("row_key", "id").count().join(named, "row_key")
+    first = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "row_key", "count")).alias("first")
+    kept = saved(named.groupBy("component_id").agg(first).select(F.col("first.row_key").alias("__kept_key"), F.col("first.count").alias("__times")), "kept")
+    key = F.xxhash64(docs[id_col].cast("long"), docs[text_col].cast("string"))
+    stay = docs.join(kept, key == kept["__kept_key"], "left_semi")
+    repeated = kept.where("__times > 1")
+    if repeated.isEmpty():
+        return stay
+    # Only rows that are given several times are looked at again.
+    again = docs.join(repeated.select("__kept_key"), key == F.col("__kept_key")).dropDuplicates(["__kept_key"])
+    return docs.join(kept.where("__times = 1"), key == kept["__kept_key"], "left_semi").unionByName(again.drop("__kept_key"))

@@ -82,6 +82,15 @@ def test_one_of_each_group_stays(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 3, 9] and kept.columns == ["doc_id", "text"]
 
 
+def test_one_of_each_group_stays_where_ids_are_missing_or_repeat(spark):
+    a, b, c, d = (words(k, 300) for k in (1, 2, 3, 4))
+    rows = [(7, a), (2, a + " end"), (7, b), (None, a), (None, c), (None, c), (None, c + " end"), (4, d), (4, d), (4, d), (9, d + " end")]
+    kept = keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    # Of c any of the texts may stay, but one.
+    assert sorted(map(tuple, (r for r in kept if r.doc_id is not None))) == [(2, a + " end"), (4, d), (7, b)]
+    assert [r.text.startswith(c) for r in kept if r.doc_id is None] == [True]
+
+
 def test_components_of_chains_stars_and_odd_edges(spark):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, x) for x in range(101, 140)] + [(7, 7), (None, 3), (200, 201), (201, 200), (-5, 300)]
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "src long, dst long")).collect()}
